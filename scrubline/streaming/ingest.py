@@ -116,6 +116,8 @@ def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None
     df = reader.load(sink)
     if route is not None and ROUTE_COL in df.columns:
         df = df.filter(F.col(ROUTE_COL) == route).drop(ROUTE_COL)
+        if route == VALID:
+            df = df.drop(CORRUPT_COL)  # always NULL on valid rows
     return df
 
 
