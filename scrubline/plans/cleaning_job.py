@@ -4,8 +4,10 @@ Order matters and follows the original script: exact-duplicate removal runs
 *before* trimming (rows that differ only in spaces both survive unless
 ``second_dedupe``), blanks become NULL before the peer fill, and rows with
 no measure at all are dropped last. The whole job is one lazy lineage:
-Catalyst collapses the updates into one projection, leaving two shuffles
-(dedup aggregate, peer-fill join of the rows that need a value).
+Catalyst collapses the updates into one projection; the dedup aggregate is
+the one full shuffle. The result is staged once before the peer fill, whose
+donor aggregate reads two columns and whose join moves only the rows that
+need a value.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.dates import US_DATE_FORMAT
 from ..operators import cleaning as C
+from ..session import shared_path
 
 
 @dataclass(frozen=True)
@@ -34,10 +37,22 @@ class CleanSpec:
     measure_cols: Sequence[str] = ("total_laid_off", "percentage_laid_off")
     drop_cols: Sequence[str] = field(default_factory=tuple)
     second_dedupe: bool = False
+    # Write the deduplicated, standardised table once (Parquet under the
+    # shared folder) before the peer fill, which reads it three ways (rows to
+    # keep, rows to fill, donors). Without it the dedup shuffle is recomputed
+    # per branch, because filters are pushed below it and defeat exchange
+    # reuse; the staged copy also cuts lineage for executor-loss recovery.
+    stage_before_fill: bool = True
     strict_dates: bool = False
     collation: str | None = None
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    path = shared_path(df.sparkSession, "staged", "clean_before_fill")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     """Raw table -> cleaned table (same columns, date column typed DATE)."""
     df = C.dedupe(raw, spec.dedupe_keys, order=None if spec.dedupe_keys is None
@@ -55,6 +70,8 @@ def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     if spec.second_dedupe:
         df = C.dedupe(df)
     if spec.fill_key and spec.fill_cols:
+        if spec.stage_before_fill:
+            df = _stage(df)
         df = C.fill_from_peers(df, spec.fill_key, spec.fill_cols)
     if spec.measure_cols:
         df = C.drop_all_null(df, spec.measure_cols)
