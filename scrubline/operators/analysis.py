@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
 from ..functions.text import numeric_text_eq
+from .numbering import slice_count
 
 
 def _as_col(c: Column | str) -> Column:
@@ -92,16 +93,19 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "rol
     else:
         keyed = df.groupBy(order_col).agg(F.sum(value_col).alias("_v"))
         vcol = "_v"
-    sliced = keyed.repartitionByRange(F.col(order_col).asc()).withColumn(
+    sliced = keyed.repartitionByRange(slice_count(keyed), F.col(order_col).asc()).withColumn(
         "_pid", F.spark_partition_id())
     slice_tot = sliced.groupBy("_pid").agg(F.sum(vcol).alias("_t"))
+    # Offset of a slice = sum over all earlier slices; NULL when every earlier
+    # value is NULL (SUM skips NULLs and is NULL only over no values).
     offsets = slice_tot.select(
         "_pid",
-        F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_pid").orderBy(F.col(order_col).asc())  # RANGE frame: peers share
-    prefixed = (sliced.join(F.broadcast(offsets), "_pid")
-                .withColumn(out, F.sum(vcol).over(inner) + F.col("_off")))
+        F.sum("_t").over(Window.orderBy("_pid").rowsBetween(
+            Window.unboundedPreceding, -1)).alias("_off"))
+    inner = F.sum(vcol).over(Window.partitionBy("_pid").orderBy(F.col(order_col).asc()))
+    total = (F.when(inner.isNull() & F.col("_off").isNull(), F.lit(None))
+             .otherwise(F.coalesce(inner, F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0))))
+    prefixed = sliced.join(F.broadcast(offsets), "_pid").withColumn(out, total)
     if unique_order:
         return prefixed.select(*df.columns, out)
     totals = prefixed.select(F.col(order_col).alias("_k"), out)

@@ -22,6 +22,16 @@ from ..functions.text import starts_with, strip_trailing as _strip_expr
 from ..functions.text import trim_spaces
 
 
+def stage_parquet(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and return a scan of it
+    (cuts lineage; later filters and column pruning reach the Parquet scan)."""
+    from ..session import shared_path
+
+    path = shared_path(df.sparkSession, "staged", label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
@@ -155,7 +165,8 @@ def blank_to_null(df: DataFrame, cols: str | Sequence[str], blank: str = "") ->
     return df.withColumns({c: _blank_expr(c, blank) for c in _cols(cols)})
 
 
-def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str]) -> DataFrame:
+def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
+                    stage: bool = False) -> DataFrame:
     """Fill NULLs in ``cols`` from other rows with the same ``key``.
 
     The donor for a key is ``min`` of its non-NULL values (deterministic where
@@ -167,8 +178,15 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str]) -> DataF
     present -- are joined to them; all other rows pass through without a
     shuffle. AQE picks broadcast vs. sort-merge from the donors' real size and
     splits a hot key on the needing side (skew join).
+
+    The input is read three ways (kept rows, rows to fill, donors). When it
+    is an expensive plan (joins, shuffles), pass ``stage=True`` to write it
+    once as Parquet under the shared folder and read that instead; filters
+    are otherwise pushed into each branch and the work is repeated.
     """
     cols = _cols(cols)
+    if stage:
+        df = stage_parquet(df, "fill_input")
     needs = F.col(key).isNotNull() & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
     donors = (df.filter(F.col(key).isNotNull())
                 .groupBy(key)

@@ -17,6 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def slice_count(df: DataFrame) -> int:
+    """Number of range slices. Given explicitly, so AQE never coalesces the
+    range shuffle: slice ids (``spark_partition_id``) must be the same in
+    every branch that reads it."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _sort_exprs(names_dirs):
     return [F.col(n).asc() if a else F.col(n).desc() for n, a in names_dirs]
 
@@ -33,7 +40,8 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
         raise ValueError(f"unknown strategy {strategy!r}")
 
     full_order = _sort_exprs([(k, True) for k in keys]) + local_order
-    sliced = df.repartitionByRange(*full_order).withColumn("_pid", F.spark_partition_id())
+    sliced = df.repartitionByRange(slice_count(df), *full_order).withColumn(
+        "_pid", F.spark_partition_id())
     local = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*local_order)))
 

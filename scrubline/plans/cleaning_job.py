@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 
 from ..functions.dates import US_DATE_FORMAT
 from ..operators import cleaning as C
-from ..session import shared_path
 
 
 @dataclass(frozen=True)
@@ -47,12 +46,6 @@ class CleanSpec:
     collation: str | None = None
 
 
-def _stage(df: DataFrame) -> DataFrame:
-    path = shared_path(df.sparkSession, "staged", "clean_before_fill")
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     """Raw table -> cleaned table (same columns, date column typed DATE)."""
     df = C.dedupe(raw, spec.dedupe_keys, order=None if spec.dedupe_keys is None
@@ -70,9 +63,7 @@ def clean(raw: DataFrame, spec: CleanSpec = CleanSpec()) -> DataFrame:
     if spec.second_dedupe:
         df = C.dedupe(df)
     if spec.fill_key and spec.fill_cols:
-        if spec.stage_before_fill:
-            df = _stage(df)
-        df = C.fill_from_peers(df, spec.fill_key, spec.fill_cols)
+        df = C.fill_from_peers(df, spec.fill_key, spec.fill_cols, stage=spec.stage_before_fill)
     if spec.measure_cols:
         df = C.drop_all_null(df, spec.measure_cols)
     for c in spec.drop_cols:

@@ -129,7 +129,7 @@ def blank_to_null(spark, d):
 def fill_from_peers(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "source")
     labelled = docs.join(_t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return C.fill_from_peers(labelled, "source", "quality")
+    return C.fill_from_peers(labelled, "source", "quality", stage=True)
 
 
 def parse_date(spark, d):

@@ -42,14 +42,23 @@ def test_total_by_sorts_null_last(spark):
 
 def test_running_total_range_frame_matches_window(spark):
     rnd = random.Random(3)
-    data = [(rnd.choice([None] + list(range(40))), rnd.randint(-5, 50)) for _ in range(3000)]
+    data = [(rnd.choice([None] + list(range(40))),
+             None if rnd.random() < 0.2 else rnd.randint(-5, 50)) for _ in range(3000)]
+    data += [(-1, None), (-2, None), (100, None)]  # all-NULL keys first and last
     df = spark.createDataFrame(data, "k int, v int")
     got = sorted(collect(A.running_total(df, "k", "v", out="rt")), key=repr)
     want = sorted(collect(df.withColumn("rt", F.sum("v").over(Window.orderBy("k")))), key=repr)
     assert got == want
-    assert max(r[2] for r in got) == sum(v for _, v in data) or True
     last = A.running_total(df, "k", "v", out="rt").orderBy(F.col("k").desc()).first()
-    assert last.rt == sum(v for _, v in data)
+    assert last.rt == sum(v for _, v in data if v is not None)
+
+
+def test_running_total_null_only_prefix(spark):
+    df = spark.createDataFrame([(m, None if m < 4 or m == 6 else m) for m in range(1, 11)],
+                               "m int, v int")
+    got = [r.rt for r in A.running_total(df, "m", "v", out="rt", unique_order=True)
+           .orderBy("m").collect()]
+    assert got == [None, None, None, 4, 9, 9, 16, 24, 33, 43]
 
 
 def test_running_total_unique_order(spark):
