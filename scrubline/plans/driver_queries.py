@@ -22,7 +22,7 @@ from ..functions.json import ROUTE_COL, decode_json, encode_json, flatten, split
 from ..operators import analysis as A
 from ..operators import cleaning as C
 from ..plans.cleaning_job import CleanSpec, clean
-from ..schemas import LAYOFFS_COLUMNS, NTZ_JSON_FORMAT
+from ..schemas import LAYOFFS_CLEAN, LAYOFFS_COLUMNS, NTZ_JSON_FORMAT
 from ..session import shared_path
 from ..sources.streams import landing_source, record_source
 from ..sources.tables import insert_into, stage_like, stage_table
@@ -370,22 +370,30 @@ def clean_layoffs(spark, d):
     return clean(_layoffs_shaped(spark, d), CleanSpec())
 
 
-def explore_top_companies(spark, d):
-    from .exploration import explore
+_CLEANED: dict[tuple[str, str], str] = {}
 
-    return explore(clean(_layoffs_shaped(spark, d)))["top_companies_per_year"]
 
+def _cleaned_table(spark, d) -> DataFrame:
+    """The cleaned layoffs-shaped table, written once per session and source
+    folder under the shared folder -- the exploration queries read the
+    persisted cleaned table, as the original exploration script does."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    path = _CLEANED.get(key)
+    if path is None:
+        path = shared_path(spark, "tables", "layoffs_clean")
+        clean(_layoffs_shaped(spark, d)).write.parquet(path)
+        _CLEANED[key] = path
+    return spark.read.schema(LAYOFFS_CLEAN).parquet(path)
 
-def explore_rolling_total(spark, d):
-    from .exploration import explore
 
-    return explore(clean(_layoffs_shaped(spark, d)))["rolling_total"]
+def _explore(name: str) -> QueryFn:
+    def run(spark, d):
+        from .exploration import explore
 
+        return explore(_cleaned_table(spark, d))[name]
 
-def explore_full_layoffs(spark, d):
-    from .exploration import explore
-
-    return explore(clean(_layoffs_shaped(spark, d)))["full_layoffs"]
+    run.__name__ = f"explore_{name}"
+    return run
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -420,7 +428,14 @@ QUERIES: dict[str, QueryFn] = {
     "stream_dedupe": stream_dedupe,
     "latest_by_key": latest_by_key_q,
     "clean_layoffs": clean_layoffs,
-    "explore_top_companies": explore_top_companies,
-    "explore_rolling_total": explore_rolling_total,
-    "explore_full_layoffs": explore_full_layoffs,
+    "explore_full_layoffs": _explore("full_layoffs"),
+    "explore_total_by_company": _explore("total_by_company"),
+    "explore_date_span": _explore("date_span"),
+    "explore_total_by_industry": _explore("total_by_industry"),
+    "explore_total_by_year": _explore("total_by_year"),
+    "explore_total_by_stage": _explore("total_by_stage"),
+    "explore_total_by_month": _explore("total_by_month"),
+    "explore_rolling_total": _explore("rolling_total"),
+    "explore_total_by_company_year": _explore("total_by_company_year"),
+    "explore_top_companies": _explore("top_companies_per_year"),
 }

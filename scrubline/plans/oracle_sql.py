@@ -198,4 +198,25 @@ FROM m ORDER BY month""",
     "explore_full_layoffs": "WITH " + _LAYOFFS_CLEAN + """
 SELECT * FROM clean WHERE try_cast(percentage_laid_off AS DOUBLE) = 1
 ORDER BY funds_raised_millions DESC NULLS LAST""",
+    "explore_total_by_company": "WITH " + _LAYOFFS_CLEAN + """
+SELECT company, CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean GROUP BY company ORDER BY total_laid_off DESC NULLS LAST""",
+    "explore_total_by_industry": "WITH " + _LAYOFFS_CLEAN + """
+SELECT industry, CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean GROUP BY industry ORDER BY total_laid_off DESC NULLS LAST""",
+    "explore_total_by_stage": "WITH " + _LAYOFFS_CLEAN + """
+SELECT stage, CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean GROUP BY stage ORDER BY total_laid_off DESC NULLS LAST""",
+    "explore_date_span": "WITH " + _LAYOFFS_CLEAN + """
+SELECT min(date) AS earliest_date, max(date) AS latest_date FROM clean""",
+    "explore_total_by_year": "WITH " + _LAYOFFS_CLEAN + """
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean GROUP BY year(date) ORDER BY total_laid_off DESC NULLS LAST""",
+    "explore_total_by_month": "WITH " + _LAYOFFS_CLEAN + """
+SELECT strftime(date, '%Y-%m') AS month, CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean WHERE date IS NOT NULL GROUP BY 1 ORDER BY 1""",
+    "explore_total_by_company_year": "WITH " + _LAYOFFS_CLEAN + """
+SELECT company, CAST(year(date) AS INTEGER) AS year,
+       CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
+FROM clean GROUP BY company, year(date) ORDER BY total_laid_off DESC NULLS LAST""",
 }
