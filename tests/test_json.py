@@ -45,7 +45,7 @@ def test_encode_decode_roundtrip_keeps_micros_and_nulls(spark):
 
 
 def test_flatten_observation_paths_ids_and_missing(spark):
-    doc = {"location": {"name": "Toulouse", "region": "Occitanie", "country": "France",
+    doc = {"location": {"name": "Springfield", "region": "Central", "country": "France",
                         "localtime": "2025-06-04 8:42"},
            "current": {"temp_c": 21.5, "last_updated": "2025-06-04 18:30",
                        "condition": {"text": "Sunny", "icon": "//x.png"}, "feelslike_c": 21.0,
@@ -59,7 +59,7 @@ def test_flatten_observation_paths_ids_and_missing(spark):
     assert flat.columns == WEATHER_FLAT.fieldNames()
     a, b = flat.collect()
     assert (a.location_city, a.description, a.icon, a.wind_degree, a.humidity) == \
-        ("Toulouse", "Sunny", "//x.png", 250, 40)
+        ("Springfield", "Sunny", "//x.png", 250, 40)
     assert b.location_city == "Nowhere" and b.current_temp_c is None and b.description is None
     assert len(a.id) == 36 and a.id == flatten_observation(df).first().id  # stable on re-run
     rnd = flatten_observation(df, id_mode="random").first().id

@@ -19,8 +19,8 @@ from scrubline.streaming.ingest import (latest_by_key, read_sink, run_ingest, st
 WIRE = T.StructType([T.StructField("value", T.BinaryType())])
 
 
-def _doc(i, city="Toulouse"):
-    return {"location": {"name": city, "region": "Occitanie", "country": "France",
+def _doc(i, city="Springfield"):
+    return {"location": {"name": city, "region": "Central", "country": "France",
                          "localtime": f"2025-06-04 {i % 24}:{i % 60:02d}"},
             "current": {"temp_c": 20.0 + i, "last_updated": f"2025-06-04 {i % 24}:00",
                         "condition": {"text": "Sunny", "icon": "//icon.png"},
