@@ -166,7 +166,7 @@ def blank_to_null(df: DataFrame, cols: str | Sequence[str], blank: str = "") ->
 
 
 def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
-                    stage: bool = False) -> DataFrame:
+                    stage: bool = False, skew_guard: bool = True) -> DataFrame:
     """Fill NULLs in ``cols`` from other rows with the same ``key``.
 
     The donor for a key is ``min`` of its non-NULL values (deterministic where
@@ -176,10 +176,16 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
     Plan: donors are aggregated to one row per key (partial aggregation), and
     only the rows that actually need a value -- NULL in some column, key
     present -- are joined to them; all other rows pass through without a
-    shuffle. AQE picks broadcast vs. sort-merge from the donors' real size and
-    splits a hot key on the needing side (skew join).
+    shuffle. AQE picks broadcast vs. sort-merge from the donors' real size.
 
-    The input is read three ways (kept rows, rows to fill, donors). When it
+    Hot keys (``skew_guard``): a key holding more than 1/(4 x partitions) of
+    the rows to fill would make one join task hold all of them (AQE's skew
+    split does not apply: the donor side arrives pre-partitioned by its
+    aggregate). Such keys -- at most 4 x partitions of them, by counting --
+    are found with one aggregate, and their rows join a broadcast of just
+    their donors, map-side; the rest take the normal join.
+
+    The input is read several ways (kept rows, rows to fill, donors). When it
     is an expensive plan (joins, shuffles), pass ``stage=True`` to write it
     once as Parquet under the shared folder and read that instead; filters
     are otherwise pushed into each branch and the work is repeated.
@@ -191,7 +197,31 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
     donors = (df.filter(F.col(key).isNotNull())
                 .groupBy(key)
                 .agg(*[F.min(c).alias(f"_donor_{c}") for c in cols]))
-    filled = (df.filter(needs).join(donors, on=key, how="left")
-                .select(*[F.coalesce(F.col(c), F.col(f"_donor_{c}")).alias(c) if c in cols
-                          else F.col(c) for c in df.columns]))
+    needing = df.filter(needs)
+    hot = _hot_keys(needing, key) if skew_guard else []
+    if hot:
+        is_hot = F.col(key).isin(hot)
+        joined = (needing.filter(is_hot).join(F.broadcast(donors.filter(is_hot)), key, "left")
+                  .unionByName(needing.filter(~is_hot).join(donors, key, "left")))
+    else:
+        joined = needing.join(donors, on=key, how="left")
+    filled = joined.select(*[F.coalesce(F.col(c), F.col(f"_donor_{c}")).alias(c) if c in cols
+                             else F.col(c) for c in df.columns])
     return df.filter(~needs).unionByName(filled)
+
+
+def _hot_keys(df: DataFrame, key: str, per_partition: int = 4) -> list:
+    """Keys holding more than total / (per_partition x shuffle partitions) rows.
+
+    Counts sum to the total, so at most ``per_partition x partitions`` keys
+    qualify: the list brought to the driver has that proven bound."""
+    from .numbering import slice_count
+
+    limit = per_partition * slice_count(df)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    if total < limit:
+        return []
+    rows = counts.filter(F.col("_n") * limit > total).select(key).collect()
+    assert len(rows) <= limit
+    return [r[0] for r in rows]

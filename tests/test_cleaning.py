@@ -172,3 +172,21 @@ def test_fill_from_peers_never_changes_present_values(spark):
 def test_retype(spark):
     df = spark.createDataFrame([("1",), ("x",)], "c string")
     assert [r.c for r in C.retype(df, "c", "int").collect()] == [1, None]
+
+
+def test_fill_from_peers_hot_key_split_matches_plain_join(spark):
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string"))
+         .alias("k"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("v"), F.col("id") % 7))
+         .alias("v"),
+        "id")
+    from scrubline.operators.cleaning import _hot_keys
+
+    # 800 rows to fill: "hot" holds 400, keys 5/15/25/35 hold 100 each; all are
+    # above 1/(4 x 8 partitions) of the total, no other key has a NULL.
+    assert sorted(_hot_keys(df.filter("v IS NULL"), "k")) == ["15", "25", "35", "5", "hot"]
+    guarded = C.fill_from_peers(df, "k", "v")
+    plain = C.fill_from_peers(df, "k", "v", skew_guard=False)
+    assert rows(guarded) == rows(plain)
+    assert guarded.count() == 4000
