@@ -18,8 +18,14 @@ def parse_date(c: ColumnOrName, fmt: str = US_DATE_FORMAT, strict: bool = False)
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str) -> Column:
-    """Text -> zone-less TIMESTAMP_NTZ; bad values give NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Text -> zone-less TIMESTAMP_NTZ; bad values give NULL.
+
+    Parsed straight to NTZ (no session time zone involved, so no DST shift);
+    ``to_timestamp_ntz`` runs only where the lenient parse succeeds, so
+    malformed text is NULL under ANSI mode too."""
+    col = _c(c)
+    return F.when(F.try_to_timestamp(col, F.lit(fmt)).isNotNull(),
+                  F.to_timestamp_ntz(col, F.lit(fmt)))
 
 
 def month_text(c: ColumnOrName) -> Column:

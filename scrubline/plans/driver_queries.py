@@ -301,7 +301,7 @@ def stream_ingest(spark, d):
     topic = shared_path(spark, "topic", "events")
     encode_json(events).repartition(F.xxhash64("value")).write.parquet(topic)
     wire = record_source(spark, topic, T.StructType([T.StructField("value", T.BinaryType())]),
-                         max_files_per_trigger=1)
+                         max_files_per_trigger=4)
     sink = shared_path(spark, "sink", "events")
     q = run_ingest(wire, sink, shared_path(spark, "checkpoints", "events"), schema=events.schema,
                    required=["event_id"], trigger="availableNow")

@@ -76,3 +76,17 @@ def test_decode_plan_has_single_from_json(spark):
     out = decode_json(df, SCHEMA).select("id", "t")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_parse_timestamp_ntz_ignores_session_zone(spark):
+    from scrubline.functions.dates import parse_timestamp
+
+    df = spark.createDataFrame([("2025-03-30 2:30",), ("2025-06-04 18:42",), ("bad",), (None,)],
+                               "t string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")  # 2:30 falls in a DST gap
+        got = [r.t for r in df.select(parse_timestamp("t", "yyyy-MM-dd H:mm").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [datetime(2025, 3, 30, 2, 30), datetime(2025, 6, 4, 18, 42), None, None]
