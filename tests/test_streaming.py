@@ -119,3 +119,20 @@ def test_stream_dedupe_within_watermark(spark):
     got = read_sink(spark, sink).drop("batch_id")
     assert got.count() == events.count()
     assert got.select("event_id").distinct().count() == events.count()
+
+
+def test_batch_is_evaluated_once(spark):
+    """T12: count + preview + write must not each recompute the batch. The
+    counter UDF lives only in this test; it counts row evaluations."""
+    acc = spark.sparkContext.accumulator(0)
+
+    def tick(x):
+        acc.add(1)
+        return x
+
+    counted = F.udf(tick, "long")
+    n = 5000
+    df = spark.range(0, n, numPartitions=4).select(counted("id").alias("id"))
+    write_batch(df, 0, shared_path(spark, "once"))
+    # one full pass for the write; the emptiness probe reads at most a few rows
+    assert n <= acc.value < n * 1.5
