@@ -3,8 +3,9 @@ inside Spark's native expressions; UPDATE/DELETE become projections/filters.
 
 Shuffles: only ``dedupe``, ``number_duplicates`` and ``fill_from_peers``
 move data. All three are written so that a single key holding a large share
-of the rows is collapsed map-side (partial aggregation) or split (AQE skew
-join), never gathered whole into one task.
+of the rows is collapsed map-side (partial aggregation / partial group
+limit), cut into range slices, or joined map-side against a bounded
+broadcast -- never gathered whole into one task (see docs/SKEW.md).
 """
 
 from __future__ import annotations
@@ -65,8 +66,9 @@ def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
     spec = _order_spec(order)
     directions = {asc for _, asc in spec}
     if len(directions) != 1:
-        # Mixed directions cannot share one struct comparison: fall back to a
-        # ranked window (one shuffle on the key; Spark inserts WindowGroupLimit).
+        # Mixed directions cannot share one struct comparison: fall back to
+        # row_number() = 1. Spark plans it with a partial WindowGroupLimit
+        # before the shuffle, so each map task still ships one row per key.
         return _first_by_window(df, keys, spec)
     asc = directions.pop()
     order_names = [n for n, _ in spec]

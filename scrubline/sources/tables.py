@@ -63,7 +63,8 @@ def stage_table(spark: SparkSession, name: str, schema: T.StructType | None = No
 
 def stage_like(spark: SparkSession, name: str, like: str, location: str | None = None) -> DataFrame:
     """``CREATE TABLE name LIKE other`` (schema only, no rows)."""
-    _check(name), _check(like)
+    _check(name)
+    _check(like)
     location = location or shared_path(spark, "staged", name)
     spark.sql(f"CREATE TABLE {name} LIKE {like} USING parquet LOCATION '{location}'")
     return spark.table(name)
