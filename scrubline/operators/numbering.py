@@ -46,13 +46,16 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
         "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*local_order)))
 
     key_struct = F.struct(*[F.col(k) for k in keys])
-    # One row per non-empty slice: its first key, and its last key with the
-    # number of rows that key has in the slice.
-    edges = local.groupBy("_pid").agg(
-        F.min(key_struct).alias("_first"),
-        F.max(F.struct(*[F.col(k) for k in keys], F.col("_local").alias("_n"))).alias("_last"))
-    edges = edges.select("_pid", "_first", F.struct(*[F.col(f"_last.{k}").alias(k) for k in keys])
-                         .alias("_last_key"), F.col("_last._n").alias("_last_n"))
+    # One row per non-empty slice: its first and last key, and how many rows
+    # the last key has in the slice. Read from the range shuffle (key columns
+    # only, no re-sort of full rows): bounds first, then a count of the rows
+    # equal to the slice's last key against those (one row per slice) bounds.
+    bounds = sliced.groupBy("_pid").agg(F.min(key_struct).alias("_first"),
+                                        F.max(key_struct).alias("_last_key"))
+    last_n = (sliced.join(F.broadcast(bounds.select("_pid", "_last_key")), "_pid")
+              .filter(key_struct.eqNullSafe(F.col("_last_key")))
+              .groupBy("_pid").agg(F.count(F.lit(1)).alias("_last_n")))
+    edges = bounds.join(F.broadcast(last_n), "_pid")
     # Rows of a key in earlier slices = running sum of its slice-final counts.
     by_last = Window.partitionBy("_last_key").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
