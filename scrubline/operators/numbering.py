@@ -52,10 +52,11 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
     # equal to the slice's last key against those (one row per slice) bounds.
     bounds = sliced.groupBy("_pid").agg(F.min(key_struct).alias("_first"),
                                         F.max(key_struct).alias("_last_key"))
-    last_n = (sliced.join(F.broadcast(bounds.select("_pid", "_last_key")), "_pid")
-              .filter(key_struct.eqNullSafe(F.col("_last_key")))
-              .groupBy("_pid").agg(F.count(F.lit(1)).alias("_last_n")))
-    edges = bounds.join(F.broadcast(last_n), "_pid")
+    # The bounds are carried through the count (not joined again), so they
+    # are computed once.
+    edges = (sliced.join(F.broadcast(bounds), "_pid")
+             .filter(key_struct.eqNullSafe(F.col("_last_key")))
+             .groupBy("_pid", "_first", "_last_key").agg(F.count(F.lit(1)).alias("_last_n")))
     # Rows of a key in earlier slices = running sum of its slice-final counts.
     by_last = Window.partitionBy("_last_key").orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
