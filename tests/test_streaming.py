@@ -136,3 +136,17 @@ def test_batch_is_evaluated_once(spark):
     write_batch(df, 0, shared_path(spark, "once"))
     # one full pass for the write; the emptiness probe reads at most a few rows
     assert n <= acc.value < n * 1.5
+
+
+@pytest.mark.parametrize("trigger", [None, "1 second"])
+def test_continuous_triggers_process_and_stop(spark, trigger):
+    events = _events(spark).limit(300)
+    topic = _topic(spark, events, files=2)
+    sink, ckpt = shared_path(spark, "c_sink"), shared_path(spark, "c_ckpt")
+    q = run_ingest(record_source(spark, topic, WIRE), sink, ckpt, schema=events.schema,
+                   required=["event_id"], trigger=trigger)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_sink(spark, sink).count() == 300
