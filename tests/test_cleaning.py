@@ -190,3 +190,12 @@ def test_fill_from_peers_hot_key_split_matches_plain_join(spark):
     plain = C.fill_from_peers(df, "k", "v", skew_guard=False)
     assert rows(guarded) == rows(plain)
     assert guarded.count() == 4000
+
+
+def test_fill_from_peers_several_columns(spark):
+    df = spark.createDataFrame([
+        ("a", None, 1), ("a", "x", None), ("a", "w", 5), ("b", None, None), ("b", None, 2)],
+        "k string, s string, n int")
+    out = rows(C.fill_from_peers(df, "k", ["s", "n"]))
+    assert out == sorted([("a", "w", 1), ("a", "x", 1), ("a", "w", 5), ("b", None, 2),
+                          ("b", None, 2)], key=repr)
