@@ -215,15 +215,18 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
 def _hot_keys(df: DataFrame, key: str, per_partition: int = 4) -> list:
     """Keys holding more than total / (per_partition x shuffle partitions) rows.
 
-    Counts sum to the total, so at most ``per_partition x partitions`` keys
-    qualify: the list brought to the driver has that proven bound."""
+    Counts sum to the total, so fewer than ``limit = per_partition x
+    partitions`` keys qualify, and all of them are among the ``limit`` most
+    frequent: one job takes that bounded top list (partial top-k per task)
+    while an ``observe`` metric on the same aggregate yields the total."""
+    from pyspark.sql import Observation
+
     from .numbering import slice_count
 
     limit = per_partition * slice_count(df)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
-    if total < limit:
-        return []
-    rows = counts.filter(F.col("_n") * limit > total).select(key).collect()
-    assert len(rows) <= limit
-    return [r[0] for r in rows]
+    obs = Observation("hot_keys")
+    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                .observe(obs, F.sum("_n").alias("total")))
+    top = counts.orderBy(F.col("_n").desc()).limit(limit).collect()
+    total = obs.get.get("total") or 0
+    return [r[key] for r in top if r["_n"] * limit > total]
