@@ -112,7 +112,7 @@ def test_stream_dedupe_within_watermark(spark):
     events = _events(spark)
     src = lambda: spark.readStream.schema(events.schema).option(
         "pathGlobFilter", "events.parquet").parquet(SF01)
-    out = dedupe_stream(src().unionByName(src()), "event_id", "ts", delay="3650 days")
+    out = dedupe_stream(src().unionByName(src()), "event_id", "ts", delay="1 day")
     assert out.columns == events.columns
     sink, ckpt = shared_path(spark, "d_sink"), shared_path(spark, "d_ckpt")
     run_ingest(out, sink, ckpt, decode=False, trigger="availableNow").awaitTermination()
