@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules
+from . import minhash, packing, quality_rules
 from .common import table
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (2-word shingles, 0.8)."""
+    return minhash.components(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality ledger of every document, with the base and the current verdict."""
     led = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -26,6 +31,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
