@@ -40,9 +40,10 @@ def connected(links: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
         cur = stage(_star(_star(cur, large=True), large=False), label)
         # Settled when every vertex has one link, to a vertex that has none: then
         # all point at the smallest vertex of their component.
-        more = cur.groupBy("a").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("a")
-        if more.union(cur.join(cur.select(F.col("b").alias("t")).distinct(),
-                               F.col("a") == F.col("t"), "left_semi").select("a")).isEmpty():
+        ends = cur.select(F.col("a").alias("v"), F.lit(1).alias("up")).union(
+            cur.select("b", F.lit(0)))
+        count = ends.groupBy("v").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+        if count.filter("up > 1 or (up = 1 and low = 0)").isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")

@@ -279,8 +279,9 @@ class _Job:
             F.xxhash64("key", "first").alias("key"), "id", "n", "comp")
         open_ = again.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         again = again.join(open_.filter("lo < hi").select("key"), "key")
-        lists = sized.filter(F.col("k") <= LONG_LIST).select("key", "id", "n", "comp").union(
-            again.select("key", "id", "n", "comp"))
+        short = sized.filter(F.col("k") <= LONG_LIST).select("key", "id", "n", "comp")
+        lists = stage(short, "minhash_short").union(
+            stage(again.select("key", "id", "n", "comp"), "minhash_again"))
         x, y = lists.alias("x"), lists.alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
                        & (F.col("x.comp") != F.col("y.comp"))

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, quality_rules
+from . import minhash, packing, quality_rules, toxicity
 from .common import table
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learnt from the labelled ones."""
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (2-word shingles, 0.8)."""
     return minhash.components(table(spark, sf_dir, "documents"), shingle_words=2)
@@ -31,6 +36,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
