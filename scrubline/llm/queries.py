@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    html_extract,
+    license_scan,
     minhash,
     packing,
     quality_rules,
+    secret_scan,
     topk_search,
     toxicity,
+    unigram_pieces,
 )
 from .common import stage, table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best partners of every 100th embedding, exactly."""
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -33,6 +42,33 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(windows)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document. The table has no paths, so documents are laid
+    out in a tree by source and number, every 50th being its folder's LICENSE."""
+    docs = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    shelf = F.floor(i / 1000).cast("string")
+    folder = F.floor(F.pmod(i, F.lit(1000)) / 50).cast("string")
+    path = (F.when(i % 1000 == 0, F.concat_ws("/", "source", shelf, F.lit("LICENSE")))
+            .when(i % 50 == 0, F.concat_ws("/", "source", shelf, folder, F.lit("LICENSE")))
+            .otherwise(F.concat_ws("/", "source", shelf, folder, F.concat(i, F.lit(".txt")))))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    return unigram_pieces.summary(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by position in its words."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_candidates", "n_secrets", F.transform(
+        F.filter("findings", lambda x: x["score"] >= secret_scan.THRESHOLD),
+        lambda x: F.struct(x["pos"].alias("pos"), F.sha2(x["token"], 256).alias("token_sha256"))
+    ).alias("secrets"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learnt from the labelled ones."""
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -60,10 +96,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_topk_search": op2_topk_search,
     "op3_chat_format": op3_chat_format,
+    "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
