@@ -8,7 +8,8 @@ character that no piece covers is one step with a penalty and is written as its
 UTF-8 bytes (byte fallback). Decoding joins pieces and bytes and turns markers
 back into blanks.
 
-Scores are used as they stand in the file. The search is exact; because no
+Scores are the file's log scores (see :func:`log_scores` for vocabularies that
+hold merge ranks). The search is exact; because no
 piece crosses the start of a marked word, whole texts are searched word by word
 and words are remembered (a bounded memo per worker). If a vocabulary has a
 piece that does cross, texts are searched in one go.
@@ -20,6 +21,7 @@ a blank. Rows are independent; ids, repeats and extra columns do not matter.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections import Counter
@@ -92,6 +94,17 @@ class DoubleArray:
         self.base, self.check, self.value = base, check, value
 
 
+def log_scores(pieces: dict[int, tuple[str, float]]) -> dict[int, tuple[str, float]]:
+    """Pieces with log-probabilities. A unigram vocabulary has them already; one
+    that was made by merging holds negative merge ranks instead (integers), which
+    become the log-probabilities of a Zipf distribution over the ranks."""
+    if not all(s <= 0 and float(s).is_integer() for _, s in pieces.values()):
+        return pieces
+    order = sorted(pieces, key=lambda i: (-pieces[i][1], i))
+    total = math.log(sum(1.0 / (r + 2.7) for r in range(len(order))))
+    return {i: (pieces[i][0], -math.log(r + 2.7) - total) for r, i in enumerate(order)}
+
+
 class PieceCodec:
     """Encoder and decoder of one vocabulary. ``pieces`` are (text, score) of the
     ordinary pieces by id; ``byte_ids`` the ids of the 256 byte pieces."""
@@ -120,7 +133,7 @@ class PieceCodec:
                 byte_ids[int(sp.id_to_piece(i)[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 pieces[i] = (sp.id_to_piece(i), sp.get_score(i))
-        return cls(pieces, byte_ids)
+        return cls(log_scores(pieces), byte_ids)
 
     def viterbi(self, text: str) -> list[int]:
         """The best segmentation of normalised text; ties go to the segmentation
