@@ -1,7 +1,8 @@
 """MinHash near-duplicates by an inverted join on signature coordinates.
 
 1. Every text becomes its set of word shingles (64-bit hashes), a signature of
-   ``COORDS`` minima and a 128-bit fingerprint of the set. Documents with equal
+   ``COORDS`` coordinates (each made of ``WIDTH`` minima, so that texts which only
+   share a frequent shingle rarely agree) and a 128-bit fingerprint of the set. Documents with equal
    sets collapse to one representative, so exact copies cost nothing further.
 2. Representatives are posted under (coordinate, value) for the first
    ``COORDS - MATCHES + 1`` coordinates only: two signatures that agree in
@@ -13,13 +14,15 @@
 
 No posting list is ever expanded into all its pairs. Star rounds compare a
 list's members with one hub of the list; afterwards only pairs *between
-different components* can still matter. Long lists of those are first posted
-again under a second coordinate (a pair needs ``MATCHES - 1`` further
-agreements), which separates documents that merely share one frequent shingle.
+different components* can still matter, and these are held against a bound
+before they leave the join: a bitmap of the set's hashes (``BITS`` bits) shows
+how many shingles of one text are certainly not in the other. Long lists
+are first posted again under a second coordinate (a pair needs ``MATCHES - 1``
+further agreements).
 So a group of n near copies costs about n comparisons, and no pair is left out.
 
-Recall: at the threshold of 0.8, a signature of 24 agrees in fewer than 9
-coordinates with a chance of about 1e-6 per pair. 64-bit hashes stand for
+Recall: at the threshold of 0.8 a coordinate agrees with a chance of 0.8 ** 3, so
+a pair agrees in fewer than 2 of 24 with a chance of about 1e-6. 64-bit hashes stand for
 shingles in all comparisons.
 
 Defined cases: null or empty texts (no word) have an empty set and link with
@@ -41,11 +44,13 @@ from .common import fresh, stage
 from .components import connected
 
 COORDS = 24
-MATCHES = 9
+WIDTH = 3
+MATCHES = 2
 PREFIX = COORDS - MATCHES + 1
 STAR_ROUNDS = 2
 #: A posting list with more members than this is posted under a second coordinate.
 LONG_LIST = 64
+BITS = 1024
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
 
@@ -129,14 +134,20 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     return out
 
 
-def signature(h: np.ndarray, coords: int = COORDS) -> np.ndarray:
-    """The high halves of the minima of ``coords`` hash functions over a set."""
-    xor, mul = _randoms(coords, 2), _randoms(coords, 3) | np.uint64(1)
-    out = np.full(coords, np.iinfo(np.uint64).max, np.uint64)
+def signature(h: np.ndarray) -> np.ndarray:
+    """COORDS coordinates of a set: each scrambles the minima of WIDTH hash
+    functions into 32 bits."""
+    n = COORDS * WIDTH
+    xor, mul = _randoms(n, 2), _randoms(n, 3) | np.uint64(1)
+    low = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for at in range(0, len(h), 4096):
-            part = h[at:at + 4096, None]
-            out = np.minimum(out, ((part ^ xor) * mul).min(axis=0))
+        for at in range(0, len(h), 1024):
+            part = h[at:at + 1024, None] ^ xor
+            part *= mul
+            low = np.minimum(low, part.min(axis=0))
+        out = low[:COORDS]
+        for k in range(1, WIDTH):
+            out = _mix(out * _C1 + low[k * COORDS:(k + 1) * COORDS])
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
@@ -155,26 +166,39 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
         at = to
 
 
-SIG_SCHEMA = "doc_id long, n_shingles long, f1 long, f2 long, sig array<int>"
+SIG_SCHEMA = ("doc_id long, n_shingles long, f1 long, f2 long, sig array<int>, "
+              "bits array<long>")
+
+
+def bitmap(h: np.ndarray) -> np.ndarray:
+    """One bit per hash value's top bits."""
+    seen = np.zeros(BITS, np.uint8)
+    seen[h >> np.uint64(64 - BITS.bit_length() + 1)] = 1
+    return np.packbits(seen).view(np.int64)
+
+
+def _lists(rows: list[np.ndarray], width: int, kind) -> pa.ListArray:
+    flat = np.concatenate(rows) if rows else np.empty(0, kind)
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), pa.array(flat))
 
 
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, f1, f2, sig = [], [], [], []
+            n, f1, f2, sig, bits = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for _, h in _sets(batch.column(1), size):
                     n.append(len(h))
                     f1.append(int(_mix(h ^ _C2).sum(dtype=np.uint64).astype(np.int64)))
                     f2.append(int(_mix(h ^ _C3).sum(dtype=np.uint64).astype(np.int64)))
                     sig.append(signature(h))
-            flat = np.concatenate(sig) if sig else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, len(flat) + 1, COORDS, dtype=np.int32)), pa.array(flat))
+                    bits.append(bitmap(h))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), lists],
-                names=["doc_id", "n_shingles", "f1", "f2", "sig"])
+                 pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
+                 _lists(sig, COORDS, np.int32), _lists(bits, BITS // 64, np.int64)],
+                names=["doc_id", "n_shingles", "f1", "f2", "sig", "bits"])
     return run
 
 
@@ -204,8 +228,10 @@ class _Job:
         # One representative per distinct set (a partial aggregate: copies meet
         # in the map tasks).
         reps = (self.sigs.filter("n_shingles > 0").groupBy("f1", "f2", "n_shingles")
-                .agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
-        self.reps = stage(reps.select("id", F.col("n_shingles").alias("n"), "sig", "f1", "f2"),
+                .agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"),
+                     F.first("bits").alias("bits")))
+        self.reps = stage(reps.select("id", F.col("n_shingles").alias("n"), "sig", "bits",
+                                      "f1", "f2"),
                           "minhash_reps")
         posts = self.reps.select("id", "n", F.posexplode(F.slice("sig", 1, PREFIX)).alias(
             "c", "v")).select(F.xxhash64("c", "v").alias("key"), "id", "n")
@@ -227,6 +253,18 @@ class _Job:
         """Set sizes that allow the threshold at all."""
         return small * self.den >= large * self.num
 
+    def possible(self, x: str, y: str):
+        """Whether the bitmaps leave room for the threshold: every bit that only
+        one side has stands for a shingle that the other lacks."""
+        def most(a: str, b: str):
+            lacks = F.lit(0)
+            for i in range(BITS // 64):
+                lacks = lacks + F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(
+                    F.bitwise_not(F.col(f"{b}.bits")[i])))
+            return F.col(f"{a}.n") - lacks
+        both = F.least(most(x, y), most(y, x))
+        return both * self.den >= (F.col(f"{x}.n") + F.col(f"{y}.n") - both) * self.num
+
     def confirm(self, pairs: DataFrame, label: str) -> None:
         """Keep candidate pairs that reach the match threshold, compare their full
         sets and bring the components up to date."""
@@ -282,10 +320,12 @@ class _Job:
         short = sized.filter(F.col("k") <= LONG_LIST).select("key", "id", "n", "comp")
         lists = stage(short, "minhash_short").union(
             stage(again.select("key", "id", "n", "comp"), "minhash_again"))
+        lists = lists.join(self.reps.select("id", "bits"), "id")
         x, y = lists.alias("x"), lists.alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
                        & (F.col("x.comp") != F.col("y.comp"))
-                       & self.alike(F.least("x.n", "y.n"), F.greatest("x.n", "y.n")))
+                       & self.alike(F.least("x.n", "y.n"), F.greatest("x.n", "y.n"))
+                       & self.possible("x", "y"))
         self.confirm(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")),
                      "minhash_rest")
 
