@@ -88,7 +88,7 @@ def stable_uuid(*cols: Column | str) -> Column:
 
     Unlike ``uuid()`` it is the same every time a task is re-run, so a
     recomputed partition (lost executor, replayed batch) writes the same ids."""
-    parts = [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("\u0000")).cast("string")
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0000"))
              for c in cols]
     h = F.sha2(F.concat_ws("\u0001", *parts), 256)
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),

@@ -29,7 +29,7 @@ def strip_trailing(c: ColumnOrName, remove: str = ".") -> Column:
     """
     if len(remove) == 1:
         return F.rtrim(_c(c), F.lit(remove))
-    return F.regexp_replace(_c(c), "(?:" + re.escape(remove) + ")+$", "")
+    return F.regexp_replace(_c(c), "(?:" + re.escape(remove) + ")+\\z", "")
 
 
 def starts_with(c: ColumnOrName, prefix: str, collation: str | None = None) -> Column:

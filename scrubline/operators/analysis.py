@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
 from ..functions.text import numeric_text_eq
+from .cleaning import stage_parquet
 from .numbering import slice_count
 
 
@@ -95,6 +96,9 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "rol
         vcol = "_v"
     sliced = keyed.repartitionByRange(slice_count(keyed), F.col(order_col).asc()).withColumn(
         "_pid", F.spark_partition_id())
+    # Written once: the totals and the rows must see the very same slices, whatever
+    # the optimiser prunes or reuses.
+    sliced = stage_parquet(sliced, "running_total")
     slice_tot = sliced.groupBy("_pid").agg(F.sum(vcol).alias("_t"))
     # Offset of a slice = sum over all earlier slices; NULL when every earlier
     # value is NULL (SUM skips NULLs and is NULL only over no values).

@@ -42,6 +42,11 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
     full_order = _sort_exprs([(k, True) for k in keys]) + local_order
     sliced = df.repartitionByRange(slice_count(df), *full_order).withColumn(
         "_pid", F.spark_partition_id())
+    # Written once: bounds, counts and rows must see the very same slices, whatever
+    # the optimiser prunes or reuses.
+    from .cleaning import stage_parquet
+
+    sliced = stage_parquet(sliced, "numbering")
     local = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*local_order)))
 

@@ -286,12 +286,12 @@ def landing_ingest(spark, d):
     landing = shared_path(spark, "landing", "events")
     (_nested_events(_t(spark, d, "events")).repartition("meta.event_id")
         .write.option("timestampNTZFormat", NTZ_JSON_FORMAT).json(landing))
-    stream = landing_source(spark, landing, EVENT_NESTED, max_files_per_trigger=1)
+    stream = landing_source(spark, landing, EVENT_NESTED)
     sink = shared_path(spark, "sink", "landing_events")
     q = run_ingest(flatten(stream, EVENT_PATHS), sink, shared_path(spark, "checkpoints", "landing"),
                    decode=False, trigger="availableNow")
     q.awaitTermination()
-    return read_sink(spark, sink).drop("batch_id")
+    return read_sink(spark, sink).drop("batch_id", "written_at")
 
 
 def stream_ingest(spark, d):
@@ -306,7 +306,7 @@ def stream_ingest(spark, d):
     q = run_ingest(wire, sink, shared_path(spark, "checkpoints", "events"), schema=events.schema,
                    required=["event_id"], trigger="availableNow")
     q.awaitTermination()
-    return latest_by_key(read_sink(spark, sink, schema=None), "event_id").drop("batch_id")
+    return latest_by_key(read_sink(spark, sink), "event_id").drop("batch_id", "written_at")
 
 
 def stream_dedupe(spark, d):
@@ -324,7 +324,7 @@ def stream_dedupe(spark, d):
     q = run_ingest(deduped, sink, shared_path(spark, "checkpoints", "dedup"), decode=False,
                    trigger="availableNow")
     q.awaitTermination()
-    return read_sink(spark, sink).drop("batch_id")
+    return read_sink(spark, sink).drop("batch_id", "written_at")
 
 
 def latest_by_key_q(spark, d):
@@ -372,6 +372,14 @@ def clean_layoffs(spark, d):
     return clean(_layoffs_shaped(spark, d), CleanSpec())
 
 
+def running_total_rows(spark, d):
+    """Every line item with the quantity shipped up to its day: the order values
+    repeat and other columns are carried along."""
+    rows = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate",
+                                           _qty().alias("qty"))
+    return A.running_total(rows, "l_shipdate", "qty", out="shipped")
+
+
 _CLEANED: dict[tuple[str, str], str] = {}
 
 
@@ -430,6 +438,8 @@ QUERIES: dict[str, QueryFn] = {
     "stream_dedupe": stream_dedupe,
     "latest_by_key": latest_by_key_q,
     "clean_layoffs": clean_layoffs,
+    "running_total_rows": running_total_rows,
+    "explore_all_rows": _explore("all_rows"),
     "explore_full_layoffs": _explore("full_layoffs"),
     "explore_total_by_company": _explore("total_by_company"),
     "explore_date_span": _explore("date_span"),

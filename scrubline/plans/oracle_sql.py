@@ -220,3 +220,9 @@ SELECT company, CAST(year(date) AS INTEGER) AS year,
        CAST(sum(total_laid_off) AS BIGINT) AS total_laid_off
 FROM clean GROUP BY company, year(date) ORDER BY total_laid_off DESC NULLS LAST""",
 }
+
+ORACLE_SQL["explore_all_rows"] = ORACLE_SQL["clean_layoffs"]
+ORACLE_SQL["running_total_rows"] = """
+    SELECT l_orderkey, l_linenumber, l_shipdate, CAST(l_quantity AS INTEGER) AS qty,
+           CAST(sum(CAST(l_quantity AS INTEGER)) OVER (ORDER BY l_shipdate) AS BIGINT) AS shipped
+    FROM lineitem"""

@@ -51,6 +51,9 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share; "
+                               "a folder of this machine would not do on a cluster")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="scrubline-shared-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")

@@ -42,7 +42,7 @@ def record_source(spark: SparkSession, path: str, schema: T.StructType, *, fmt:
 
 
 def landing_source(spark: SparkSession, path: str, schema: T.StructType = WEATHER_NESTED, *,
-                   max_files_per_trigger: int | None = 1) -> DataFrame:
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Documents landing as JSON files (one or more documents per file, one per
     line) streamed with a declared nested schema -- the distributed stand-in
     for polling a REST endpoint."""

@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | None = N
                fmt: str = "parquet", **options: str) -> DataFrame:
     """``SELECT * FROM t``: a catalog table name, or a path read with ``fmt``.
     For text formats (CSV/JSON) a ``schema`` is required."""
-    if _NAME.match(source) and spark.catalog.tableExists(source):
+    if all(_NAME.match(part) for part in source.split(".")) and spark.catalog.tableExists(source):
         return spark.table(source)
     reader = spark.read.options(**options)
     if schema is not None:

@@ -1,8 +1,10 @@
 """Micro-batch ingestion: decode -> route -> idempotent keyed sink.
 
 Sink contract (each point is a test):
-* each micro-batch is written to ``<sink>/batch_id=N`` with overwrite, so a
-  batch replayed after a failure replaces itself instead of adding copies;
+* each micro-batch is written to ``<sink>/query_id=Q/batch_id=N`` with overwrite,
+  so a batch replayed after a failure replaces itself instead of adding copies,
+  and a second query (or the same one with a new checkpoint, whose batches start
+  at 0 again) cannot erase what an earlier one wrote;
 * sink errors propagate, so the batch is not committed and is replayed on
   restart (swallowing them would lose it);
 * the batch is evaluated once for the data (one write, with the row count
@@ -30,6 +32,9 @@ from ..schemas import WEATHER_FLAT, WEATHER_TIME_FORMAT
 log = logging.getLogger(__name__)
 
 BATCH_COL = "batch_id"
+QUERY_COL = "query_id"
+#: When the batch was written: orders the batches of different queries.
+WRITTEN_COL = "written_at"
 
 
 def write_batch(batch_df: DataFrame, batch_id: int, sink: str, *, fmt: str = "parquet",
@@ -39,18 +44,21 @@ def write_batch(batch_df: DataFrame, batch_id: int, sink: str, *, fmt: str = "pa
 
     ``route_col`` partitions the batch folder by route (valid/quarantine) in
     the same single write. ``preview`` logs the first rows (off by default:
-    it is an extra job)."""
+    it is an extra job). The query id is the one that Spark keeps in the
+    checkpoint; a call outside a stream belongs to the query ``direct``."""
     if batch_df.isEmpty():
         log.info("batch %s is empty; nothing written", batch_id)
         return 0
     if preview:
         log.info("batch %s preview:\n%s", batch_id, batch_df.limit(preview).toPandas())
     obs = Observation(f"batch_{batch_id}")
-    observed = batch_df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    query = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    stamped = batch_df.withColumn(WRITTEN_COL, F.current_timestamp())
+    observed = stamped.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite").format(fmt).options(**(options or {}))
     if route_col:
         writer = writer.partitionBy(route_col)
-    writer.save(f"{sink.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
+    writer.save(f"{sink.rstrip('/')}/{QUERY_COL}={query or 'direct'}/{BATCH_COL}={int(batch_id)}")
     n = int(obs.get["rows"])
     log.info("batch %s: %d rows written", batch_id, n)
     return n
@@ -78,7 +86,8 @@ def run_ingest(source: DataFrame, sink: str, checkpoint: str, *,
                schema: T.StructType = WEATHER_FLAT, required: Sequence[str] = ("id",),
                decode: bool = True, transform: Callable[[DataFrame], DataFrame] | None = None,
                trigger: str | None = None, fmt: str = "parquet",
-               query_name: str | None = None) -> StreamingQuery:
+               query_name: str | None = None, preview: int = 0,
+               options: dict[str, str] | None = None) -> StreamingQuery:
     """Start ``source -> decode -> route -> write_batch`` with a checkpoint.
 
     ``trigger``: ``None`` (back-to-back micro-batches until stopped),
@@ -87,10 +96,14 @@ def run_ingest(source: DataFrame, sink: str, checkpoint: str, *,
     a shared path on a cluster."""
     if not checkpoint:
         raise ValueError("run_ingest needs a checkpoint location")
-    df = decode_stream(source, schema, required=required, transform=transform) if decode else source
+    if decode:
+        df = decode_stream(source, schema, required=required, transform=transform)
+    else:
+        df = transform(source) if transform is not None else source
     route = ROUTE_COL if ROUTE_COL in df.columns else None
     writer = (df.writeStream
-              .foreachBatch(functools.partial(_batch_writer, sink=sink, fmt=fmt, route_col=route))
+              .foreachBatch(functools.partial(_batch_writer, sink=sink, fmt=fmt, route_col=route,
+                                              preview=preview, options=options))
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
@@ -102,18 +115,26 @@ def run_ingest(source: DataFrame, sink: str, checkpoint: str, *,
 
 
 def _batch_writer(batch_df: DataFrame, batch_id: int, *, sink: str, fmt: str,
-                  route_col: str | None) -> None:
-    write_batch(batch_df, batch_id, sink, fmt=fmt, route_col=route_col)
+                  route_col: str | None, preview: int = 0,
+                  options: dict[str, str] | None = None) -> None:
+    write_batch(batch_df, batch_id, sink, fmt=fmt, route_col=route_col, preview=preview,
+                options=options)
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None,
               route: str | None = VALID, fmt: str = "parquet") -> DataFrame:
-    """All batches of a sink (``batch_id`` column included); ``route`` selects
-    the valid or quarantine rows when the sink is routed (partition pruning)."""
+    """All batches of a sink (``batch_id`` and ``written_at`` columns included);
+    ``route`` selects the valid or quarantine rows when the sink is routed
+    (partition pruning)."""
     reader = spark.read.format(fmt)
     if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.load(sink)
+        known = {f.name for f in schema.fields}
+        extra = [T.StructField(WRITTEN_COL, T.TimestampType()),
+                 T.StructField(QUERY_COL, T.StringType()),
+                 T.StructField(BATCH_COL, T.LongType())]
+        reader = reader.schema(T.StructType(
+            schema.fields + [f for f in extra if f.name not in known]))
+    df = reader.load(sink).drop(QUERY_COL)
     if route is not None and ROUTE_COL in df.columns:
         df = df.filter(F.col(ROUTE_COL) == route).drop(ROUTE_COL)
         if route == VALID:
@@ -122,17 +143,22 @@ def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None
 
 
 def latest_by_key(df: DataFrame, key: str | Sequence[str],
-                  order: str | Sequence[str] = (f"-{BATCH_COL}",)) -> DataFrame:
+                  order: str | Sequence[str] | None = None) -> DataFrame:
     """Latest row per key (keep-latest upsert semantics on read). ``order``
     lists the recency columns, ``-`` for descending; the survivor is the first
-    row in that order. Computed as an aggregate, so a hot key is collapsed
-    map-side."""
+    row in that order (by default the batch written last, then the highest
+    batch number). Computed as an aggregate, so a hot key is collapsed map-side."""
+    if order is None:
+        order = [f"-{c}" for c in (WRITTEN_COL, BATCH_COL) if c in df.columns]
     return dedupe(df, key, list(order) if not isinstance(order, str) else [order])
 
 
 def dedupe_stream(df: DataFrame, key: str | Sequence[str], event_time: str,
-                  delay: str = "10 minutes") -> DataFrame:
-    """In-stream keyed dedup: ``dropDuplicatesWithinWatermark``. Needs a
+                  delay: str) -> DataFrame:
+    """In-stream keyed dedup: ``dropDuplicatesWithinWatermark``. There is no
+    default ``delay``: a row that comes in a later batch behind the watermark is
+    dropped, so the caller has to state how late rows can be (the lossless way
+    is ``latest_by_key`` on read). Needs a
     TIMESTAMP event time; a zone-less (NTZ) column is cast for the watermark
     only (helper column, dropped after), so the output keeps its type. State
     is bounded by the watermark delay."""

@@ -90,3 +90,32 @@ def test_total_by_period_month_drops_null_dates(spark):
     assert collect(A.total_by_period(df, "d", "m", period="month", sort="asc")) == [("2022-01", 3)]
     assert sorted(collect(A.total_by_period(df, "d", "m")), key=repr) == sorted(
         [(2022, 3), (None, 7)], key=repr)
+
+
+def test_running_total_with_carried_columns_and_no_exchange_reuse(spark):
+    from pyspark.sql import functions as F
+
+    from scrubline.operators.analysis import running_total
+
+    n = 200_000
+    df = spark.range(n).select("id", F.lit(1).alias("v"), F.xxhash64("id").alias("extra"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = running_total(df, "id", "v", unique_order=True)
+        assert out.filter(F.col("rolling_total") != F.col("id") + 1).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_numbering_without_exchange_reuse(spark):
+    from pyspark.sql import functions as F
+
+    from scrubline.operators.cleaning import number_duplicates
+
+    df = spark.range(200_000).select((F.col("id") % 3).alias("k"), "id")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = number_duplicates(df, "k", order="id")
+        assert out.filter(F.col("row_num") != F.floor(F.col("id") / 3) + 1).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

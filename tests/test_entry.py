@@ -2,9 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF001
 from oracle_compare import compare
+from scrubline.plans.driver_queries import QUERIES
+from scrubline.plans.oracle_sql import ORACLE_SQL
 
 BAD_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -16,18 +18,18 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
-    info = compare(spark, SF001, name, queries()[name], oracle_sql()[name])
+    info = compare(spark, SF001, name, QUERIES[name], ORACLE_SQL[name])
     assert info["ok"], info
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_python_udf_or_cartesian(spark, name):
-    df = queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in BAD_NODES:
         assert node not in plan, (name, node)

@@ -50,7 +50,7 @@ def test_produce_then_ingest_weather(spark, tmp_path):
                schema=WEATHER_FLAT, transform=to_sink_types,
                trigger="availableNow").awaitTermination()
     got = read_sink(spark, sink)
-    assert [(f.name, f.dataType) for f in got.drop("batch_id").schema] == \
+    assert [(f.name, f.dataType) for f in got.drop("batch_id", "written_at").schema] == \
         [(f.name, f.dataType) for f in WEATHER_SINK]
     assert got.count() == 31
     # The repeated poll has the same stable id; keep-latest leaves one row per id.
