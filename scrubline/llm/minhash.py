@@ -49,7 +49,7 @@ MATCHES = 2
 PREFIX = COORDS - MATCHES + 1
 STAR_ROUNDS = 2
 #: A posting list with more members than this is posted under a second coordinate.
-LONG_LIST = 64
+LONG_LIST = 4096
 BITS = 1024
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
