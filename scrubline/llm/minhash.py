@@ -255,15 +255,13 @@ class _Job:
 
     def possible(self, x: str, y: str):
         """Whether the bitmaps leave room for the threshold: every bit that only
-        one side has stands for a shingle that the other lacks."""
-        def most(a: str, b: str):
-            lacks = F.lit(0)
-            for i in range(BITS // 64):
-                lacks = lacks + F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(
-                    F.bitwise_not(F.col(f"{b}.bits")[i])))
-            return F.col(f"{a}.n") - lacks
-        both = F.least(most(x, y), most(y, x))
-        return both * self.den >= (F.col(f"{x}.n") + F.col(f"{y}.n") - both) * self.num
+        one side has stands for a shingle that the other lacks, and sets that
+        reach num/den differ in (n + m) * (den - num) / (den + num) shingles at most."""
+        differ = F.lit(0)
+        for i in range(BITS // 64):
+            differ = differ + F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}")))
+        return differ * (self.den + self.num) <= (
+            F.col(f"{x}.n") + F.col(f"{y}.n")) * (self.den - self.num)
 
     def confirm(self, pairs: DataFrame, label: str) -> None:
         """Keep candidate pairs that reach the match threshold, compare their full
@@ -320,14 +318,20 @@ class _Job:
         short = sized.filter(F.col("k") <= LONG_LIST).select("key", "id", "n", "comp")
         lists = stage(short, "minhash_short").union(
             stage(again.select("key", "id", "n", "comp"), "minhash_again"))
-        lists = lists.join(self.reps.select("id", "bits"), "id")
-        x, y = lists.alias("x"), lists.alias("y")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
+        # Members of the list's first component (most of a group of copies) are
+        # only the other side of a pair, so a group is not held against itself.
+        first = lists.groupBy("key").agg(F.min("comp").alias("lo"))
+        words = [F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]
+        lists = stage(lists.join(first, "key").join(self.reps.select("id", *words), "id"),
+                      "minhash_lists")
+        x, y = lists.filter("comp <> lo").alias("x"), lists.alias("y")
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key"))
                        & (F.col("x.comp") != F.col("y.comp"))
+                       & ((F.col("y.comp") == F.col("y.lo")) | (F.col("x.id") < F.col("y.id")))
                        & self.alike(F.least("x.n", "y.n"), F.greatest("x.n", "y.n"))
                        & self.possible("x", "y"))
-        self.confirm(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")),
-                     "minhash_rest")
+        self.confirm(pairs.select(F.least("x.id", "y.id").alias("a"),
+                                  F.greatest("x.id", "y.id").alias("b")), "minhash_rest")
 
 
 def components(df: DataFrame, shingle_words: int = 2, threshold_pct: int = 80,
