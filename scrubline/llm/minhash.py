@@ -234,7 +234,7 @@ class _Job:
                                       "f1", "f2"),
                           "minhash_reps")
         posts = self.reps.select("id", "n", F.posexplode(F.slice("sig", 1, PREFIX)).alias(
-            "c", "v")).select(F.xxhash64("c", "v").alias("key"), "id", "n")
+            "c", "v")).select(F.xxhash64("c", "v").alias("key"), "c", "id", "n")
         shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
         self.posts = stage(posts.join(shared.select("key"), "key"), "minhash_posts")
         self.links = None
@@ -245,7 +245,7 @@ class _Job:
         if self.comp is None:
             return posts.withColumn("comp", F.col("id"))
         out = posts.join(self.comp, "id", "left").select(
-            "key", "id", "n", F.coalesce("component", "id").alias("comp"))
+            "key", "c", "id", "n", F.coalesce("component", "id").alias("comp"))
         open_ = out.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         return out.join(open_.filter("lo < hi").select("key"), "key")
 
@@ -263,6 +263,14 @@ class _Job:
         return differ * (self.den + self.num) <= (
             F.col(f"{x}.n") + F.col(f"{y}.n")) * (self.den - self.num)
 
+    def first_list(self, x: str, y: str):
+        """Whether two members of a list agree in MATCHES coordinates and the
+        list's own is the first of them, so that a pair leaves one list only
+        (a list of two coordinates has none of its own)."""
+        same = F.zip_with(F.col(f"{x}.sig"), F.col(f"{y}.sig"), lambda p, q: p == q)
+        return ((F.size(F.filter(same, lambda e: e)) >= MATCHES)
+                & ((F.col(f"{x}.c") < 0) | (F.array_position(same, True) == F.col(f"{x}.c") + 1)))
+
     def confirm(self, pairs: DataFrame, label: str) -> None:
         """Keep candidate pairs that reach the match threshold, compare their full
         sets and bring the components up to date."""
@@ -312,24 +320,23 @@ class _Job:
         again = long_.select("key", "id", "n", "comp", F.posexplode(
             F.slice("sig", 1, PREFIX + 1)).alias("c", "v"))
         again = again.withColumn("first", F.xxhash64("c", "v")).filter("first <> key").select(
-            F.xxhash64("key", "first").alias("key"), "id", "n", "comp")
+            F.xxhash64("key", "first").alias("key"), F.lit(-1).alias("c"), "id", "n", "comp")
         open_ = again.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         again = again.join(open_.filter("lo < hi").select("key"), "key")
-        short = sized.filter(F.col("k") <= LONG_LIST).select("key", "id", "n", "comp")
-        lists = stage(short, "minhash_short").union(
-            stage(again.select("key", "id", "n", "comp"), "minhash_again"))
+        short = sized.filter(F.col("k") <= LONG_LIST).select("key", "c", "id", "n", "comp")
+        lists = short.union(stage(again.select("key", "c", "id", "n", "comp"), "minhash_again"))
         # Members of the list's first component (most of a group of copies) are
         # only the other side of a pair, so a group is not held against itself.
         first = lists.groupBy("key").agg(F.min("comp").alias("lo"))
         words = [F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]
-        lists = stage(lists.join(first, "key").join(self.reps.select("id", *words), "id"),
+        lists = stage(lists.join(first, "key").join(self.reps.select("id", "sig", *words), "id"),
                       "minhash_lists")
         x, y = lists.filter("comp <> lo").alias("x"), lists.alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key"))
                        & (F.col("x.comp") != F.col("y.comp"))
                        & ((F.col("y.comp") == F.col("y.lo")) | (F.col("x.id") < F.col("y.id")))
                        & self.alike(F.least("x.n", "y.n"), F.greatest("x.n", "y.n"))
-                       & self.possible("x", "y"))
+                       & self.possible("x", "y") & self.first_list("x", "y"))
         self.confirm(pairs.select(F.least("x.id", "y.id").alias("a"),
                                   F.greatest("x.id", "y.id").alias("b")), "minhash_rest")
 
