@@ -125,6 +125,25 @@ def test_minhash_matches_brute_force(spark, n):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize(("stars", "long_list"), [(0, 4096), (1, 3)])
+def test_minhash_last_round_finds_what_stars_leave(spark, monkeypatch, stars, long_list):
+    """Variants of one text around the threshold: all pairs by the last round,
+    and long lists posted again under a second coordinate."""
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", stars)
+    monkeypatch.setattr(minhash, "LONG_LIST", long_list)
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(120):
+        words = list(base)
+        for k in rng.choice(60, int(rng.integers(1, 9)), replace=False):
+            words[k] = f"x{rng.integers(40)}"
+        docs.append((i, " ".join(words)))
+    got = minhash.components(spark.createDataFrame(docs, "doc_id long, text string"),
+                             shingle_words=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute_components(docs, 2)
+
+
 def test_topk_is_exact_with_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=16).round(2).tolist()) for i in range(400)]
