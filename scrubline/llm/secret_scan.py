@@ -27,8 +27,13 @@ MASK = "<SECRET>"
 TREES, DEPTH, SEED = 20, 6, 7
 #: Labelled findings that the forest is trained on.
 FINDINGS = 4000
+#: Parts of a word that are looked through for the name of a list of keys.
+LIST_BACK = 8
 
-_CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,200}[0-9])[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
+#: A sign of equality is part of a key as its padding only: what stands before it
+#: is a name.
+_CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{%d,}"
+              r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_LENGTH)
 #: Words that make a key likely or unlikely next to a candidate, places where
 #: samples live, and word pieces of identifiers (fixed values).
 _FOR = r"(?i)secret|token|passw|pwd|api[_-]?key|apikey|auth|bearer|credential|private|access"
@@ -54,7 +59,7 @@ def feature_struct(token: Column, word: Column, before: Column, after: Column,
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         F.regexp_replace(token, "[a-z]+", "\u0001"), "[A-Z]+", "\u0002"), "[0-9]+", "\u0003"),
         r"[^\u0001-\u0003]+", "\u0004")
-    near = F.concat_ws(" ", before, F.regexp_replace(word, r"[A-Za-z0-9+/_=-]{16,}", " "))
+    near = F.concat_ws(" ", before, F.replace(word, token, F.lit(" ")))
     values = (
         F.length(token).cast("double"), (F.length(classes) / F.length(token)).cast("double"),
         _share(token, "[0-9]+"), _share(token, "[A-Z]+"),
@@ -139,25 +144,48 @@ def forest_expression(model, f: Column) -> Column:
     return total / len(trees)
 
 
+def _in_word(x: Column) -> Column:
+    """array<struct<i, t, w, b, a>> of all candidates of one word: each with its own
+    part of the word, so that the name of one value is not taken for another's.
+
+    A name right before it, or the name before the list that it stands in, comes
+    with a candidate; what follows up to the next candidate's name does too."""
+    last = F.size(x["tokens"]) - 1
+
+    def one(t: Column, k: Column) -> Column:
+        gap, after = F.get(x["gaps"], k), F.get(x["gaps"], k + 1)
+        start = F.greatest(F.lit(1), k + 2 - LIST_BACK)
+        named = F.filter(F.slice(x["gaps"], start, k + 2 - start), lambda g: g.rlike("[A-Za-z0-9]"))
+        listed = F.coalesce(F.get(named, F.size(named) - 1), F.get(x["gaps"], F.lit(0)))
+        name = F.get(x["tokens"], k - 1)
+        left = F.when((k == 0) | gap.rlike("[A-Za-z0-9]"), gap).otherwise(F.concat(listed, gap))
+        right = F.when(k == last, after).otherwise(F.regexp_extract(after, "^[^A-Za-z0-9]*", 0))
+        before = (F.when(k == 0, x["b"])
+                  .when(gap.rlike("^[\"'`]?[=:]") | name.endswith("="), name)
+                  .when(F.size(named) > 0, "").otherwise(x["b"]))
+        return F.struct(x["i"].alias("i"), t.alias("t"), F.concat(left, t, right).alias("w"),
+                        before.alias("b"), F.when(k == last, x["a"]).otherwise("").alias("a"))
+
+    return F.transform(x["tokens"], one)
+
+
 def findings_column(text: Column, path: Column, model) -> Column:
     """array<struct<pos, token, score>> of a text's candidates, in order."""
-    plain = lambda w: F.regexp_extract(w, _CANDIDATE, 0)
 
     def of_words(words: Column) -> Column:
         hits = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
                         lambda x: (F.length(x["w"]) >= MIN_LENGTH) & x["w"].rlike(_CANDIDATE))
         at = lambda x, k: F.coalesce(F.get(words, x["i"] + k), F.lit(""))
-
-        def scored(x: Column) -> Column:
-            return let(F.struct(plain(x["w"]).alias("t"), x["w"].alias("w"),
-                                F.concat_ws(" ", at(x, -2), at(x, -1)).alias("b"),
-                                at(x, 1).alias("a"), x["i"].alias("i")),
-                       lambda c: let(feature_struct(c["t"], c["w"], c["b"], c["a"], path),
-                                     lambda f: F.struct(
-                                         c["i"].alias("pos"), c["t"].alias("token"),
-                                         forest_expression(model, f).alias("score"))))
-
-        return F.transform(hits, scored)
+        # Every candidate of every word, with the word and its neighbours.
+        found = F.flatten(F.transform(hits, lambda x: let(
+            F.struct(x["i"].alias("i"), F.concat_ws(" ", at(x, -2), at(x, -1)).alias("b"),
+                     at(x, 1).alias("a"),
+                     F.regexp_extract_all(x["w"], F.lit(_CANDIDATE), F.lit(0)).alias("tokens"),
+                     F.split(x["w"], _CANDIDATE).alias("gaps")), _in_word)))
+        return F.transform(found, lambda c: let(
+            feature_struct(c["t"], c["w"], c["b"], c["a"], path), lambda f: F.struct(
+                c["i"].alias("pos"), c["t"].alias("token"),
+                forest_expression(model, f).alias("score"))))
 
     kind = "array<struct<pos:int,token:string,score:double>>"
     return F.when(text.rlike(_CANDIDATE), let(F.split(text, r"\s+"), of_words).cast(kind)).otherwise(

@@ -262,3 +262,20 @@ def test_secrets_found_and_masked(spark):
     assert out.columns == docs.columns and out.count() == len(rows)
     text = {r.text for r in out.collect()}
     assert f'set token = "{secret_scan.MASK}" now' in text and any(sha in (t or "") for t in text)
+
+
+@pytest.mark.parametrize(("word", "secret", "plain"), [
+    ('{"id":"docs/page/section/12/index","secret":"%s"}', 1, "docs/page/section/12/index"),
+    ('{"commit":"%s","token":"%s"}', 2, None), ('{"token":"%s","commit":"%s"}', 1, None),
+    ("https://h.org/a?id=docs/page/section/12/index&secret=%s&commit=%s", 1, "12/index&secret="),
+    ('tokens=["%s","%s"]', 3, None), ("token=%s;secret=%s", 3, None)])
+def test_secrets_all_candidates_of_a_word(spark, word, secret, plain):
+    """``secret``: bits of the keys that are masked; the others stay."""
+    keys = ["9f86d081884c7d659a2feaa0c55ad015", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
+    keys = keys[:word.count("%s")]
+    docs = _docs(spark, [(1, f"a {word % tuple(keys)} b", "en", "s", 9, "x")])
+    want = word % tuple(secret_scan.MASK if secret >> i & 1 else k for i, k in enumerate(keys))
+    assert secret_scan.redact(docs).first().text == f"a {want} b"
+    found = secret_scan.scan(docs).first()
+    assert found.n_candidates == len(found.findings) >= len(keys)
+    assert {f.pos for f in found.findings} == {1} and (plain is None or plain in want)
