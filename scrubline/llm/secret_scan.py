@@ -1,9 +1,9 @@
 """Secret scan with a random forest against false positives.
 
-Candidates are long runs of key characters that hold a digit, found in whole
-texts. Each gets features: its length, changes of character class, shares of
-digits and capitals, distinct characters, coverage by a small dictionary, its
-path, and the neighbouring words. A random forest trained on labelled findings
+Candidates are all long runs of key characters, with or without a digit, found in
+whole texts; a word may hold several. Each gets features: its length, changes of
+character class, shares of digits, capitals and vowels, distinct characters, known
+prefixes, coverage by a small dictionary, its path, and the neighbouring words. A random forest trained on labelled findings
 (:func:`labelled_findings`) scores them.
 
 The trained forest becomes one column expression, so a document is scanned,
@@ -32,8 +32,8 @@ LIST_BACK = 8
 
 #: A sign of equality is part of a key as its padding only: what stands before it
 #: is a name.
-_CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{%d,}"
-              r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_LENGTH)
+_CANDIDATE = (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}"
+              r"(?:={1,2}(?![A-Za-z0-9+/_=-]|[\"'`][A-Za-z0-9+/]))?" % MIN_LENGTH)
 #: Words that make a key likely or unlikely next to a candidate, places where
 #: samples live, and word pieces of identifiers (fixed values).
 _FOR = r"(?i)secret|token|passw|pwd|api[_-]?key|apikey|auth|bearer|credential|private|access"
@@ -44,8 +44,14 @@ _DICTIONARY = ("(?i)example|sample|test|dummy|placeholder|changeme|your|version|
                "default|service|server|client|value|number|string|array|object|build|linux|windows|"
                "python|script|install|update|report|document|section|chapter|figure|table")
 
+#: How issuers begin their keys, and the vowels that words are full of.
+_PREFIX = (r"^(?:A(?:KI|SI|RO)A[A-Z0-9]{12}|AIza|gh[pousr]_|github_pat_|glpat-|[sr]k_(?:live|test)_|"
+           r"xox[abprs]-|eyJ[A-Za-z0-9]|npm_|pypi-)")
+_VOWELS = "(?i)[aeiou]"
+
 FEATURES = ("length", "changes", "digits", "capitals", "distinct", "dictionary", "sample_path",
-            "word_for", "word_against", "assigned", "quoted", "hex_only", "grouped")
+            "word_for", "word_against", "assigned", "quoted", "hex_only", "grouped",
+            "vowels", "prefix", "name")
 
 
 def _share(token: Column, drop: str) -> Column:
@@ -67,15 +73,15 @@ def feature_struct(token: Column, word: Column, before: Column, after: Column,
         _share(token, _DICTIONARY), flag(path.rlike(_SAMPLE_PATH)), flag(near.rlike(_FOR)),
         flag(F.concat_ws(" ", near, after).rlike(_AGAINST)), flag(near.rlike("[=:]")),
         flag(word.rlike("[\"'`]")), flag(token.rlike("^[0-9a-f]+$|^[0-9A-F]+$")),
-        flag(token.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-")))
+        flag(token.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-")),
+        _share(token, _VOWELS), flag(token.rlike(_PREFIX)),
+        # The name of a value, not a value.
+        flag(F.replace(word, token, F.lit("\u0001")).rlike("\u0001[\"'`]?[=:]")))
     return F.struct(*[v.cast("double").alias(n) for n, v in zip(FEATURES, values)])
 
 
-def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
-    """Labelled findings, derived from row numbers: keys as they stand in code and
-    settings, and what is often mistaken for them (digests, ids, paths, numbers,
-    placeholders)."""
-    i = F.col("id")
+def _finding(i: Column) -> Column:
+    """The labelled finding of one row number."""
     hexs = F.sha2(i.cast("string"), 256)
     b64 = F.regexp_replace(F.base64(F.unhex(hexs)), "=+$", "")
     pick = lambda opts, k: F.element_at(F.array(*[F.lit(o) for o in opts]),
@@ -99,18 +105,68 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
              F.concat(F.lit("xxxxxxxxxxxxxxxxxxxx"), F.pmod(i, F.lit(9))), uuid]
     of = lambda opts: F.element_at(F.array(*opts), (
         F.pmod(F.xxhash64(i, F.lit(4)), F.lit(len(opts))) + 1).cast("int"))
-    kind = F.pmod(i, F.lit(6))
-    secret = kind < 3
-    token = F.when(secret, of(keys)).when(kind == 3, of(keys[:3])).otherwise(of(noise))
-    before = F.when(secret, F.concat(cue, pick([" =", ":", " :", "="], 6))).when(
-        kind == 3, F.concat(against, pick(["", ":", " ="], 7))).otherwise(prose)
-    word = F.when(secret & (F.pmod(i, F.lit(4)) > 0), F.concat(F.lit('"'), token, F.lit('"')))
-    return spark.range(n).select(
+    # Keys and runs without a digit.
+    spelt = F.translate(hexs, "0123456789", "ghkmpqrtwx")
+    mixed = F.translate(b64, "0123456789+/", "kQzWmXpRvTsY")
+    said = lambda k: pick(["correct", "horse", "battery", "staple", "winter", "purple",
+                           "monkey", "dragon", "orange", "silver", "rocket", "coffee"], k)
+    long_word = pick(["internationalization", "telecommunications", "straightforwardness",
+                      "Geschwindigkeitsbegrenzung", "anticonstitutionnellement",
+                      "responsabilidades-generales", "state-of-the-art-systems",
+                      "institutionalisation", "aaaaaaaaaaaaaaaaaaaaaaaa", "----------------------",
+                      "________________________", "abcdefghijklmnopqrstuvwxyz"], 21)
+    in_code = F.concat(pick(["get", "set", "load", "make"], 22),
+                       pick(["Default", "Current", "Access", "Secret"], 23),
+                       pick(["Configuration", "Token", "Password", "Connection"], 24),
+                       pick(["Provider", "Manager", "FromRequest", "Value"], 25))
+    snake = F.lower(F.concat_ws("_", pick(["aws", "my", "client", "default"], 26),
+                                pick(["secret", "access", "private", "config"], 23),
+                                pick(["token", "storage", "account", "service"], 24),
+                                pick(["key", "name", "value", "path"], 25)))
+    folders = F.concat_ws("/", said(27), said(28), said(29), pick(["index", "readme", "main"], 30))
+    prefixed = [F.concat(F.lit("AKIA"), F.upper(F.substring(spelt, 1, 16))),
+                F.concat(F.lit("AKIA"), F.upper(F.substring(hexs, 1, 16))),
+                F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)),
+                F.concat(F.lit("ghp_"), F.substring(b64, 1, 36))]
+    letter_keys = [F.upper(F.substring(spelt, 1, 20)), F.substr(mixed, F.lit(1), cut),
+                   F.substring(spelt, 1, 24), F.concat(said(31), said(32), said(33), said(34)),
+                   F.concat_ws("-", said(31), said(32), said(33), said(34))]
+    letter_noise = [long_word, in_code, snake, folders, F.upper(long_word),
+                    F.concat_ws("-", said(35), said(36), said(37)),
+                    F.upper(F.concat(said(35), said(36), said(37)))]
+    kind = F.pmod(i, F.lit(10))
+    bare = kind == 6
+    secret = (kind < 3) | kind.isin(6, 7)
+    token = (F.when(kind < 3, of(keys)).when(kind == 3, of(keys[:3])).when(kind < 6, of(noise))
+             .when(bare, of(prefixed)).when(kind == 7, of(letter_keys)).otherwise(of(letter_noise)))
+    cued = F.concat(cue, pick([" =", ":", " :", "="], 6))
+    plain_name = F.concat(pick(["class", "name", "title", "import", "path"], 38),
+                          pick([" =", ":", "="], 39))
+    before = (F.when(bare & (F.pmod(i, F.lit(20)) < 10), prose).when(secret, cued)
+              .when(kind == 3, F.concat(against, pick(["", ":", " ="], 7)))
+              .when(kind == 8, plain_name)
+              # A cue word in a sentence assigns nothing.
+              .when((kind == 9) & (F.pmod(i, F.lit(20)) < 10), F.concat(F.lit("the "), cue))
+              .otherwise(prose))
+    quoted = F.concat(F.lit('"'), token, F.lit('"'))
+    word = F.when((secret | (kind == 8)) & (F.pmod(F.floor(i / 10), F.lit(4)) > 0), quoted).when(
+        (kind == 9) & (F.pmod(F.floor(i / 10), F.lit(3)) == 0), F.concat(token, F.lit('="')))
+    return F.struct(
         token.alias("token"), F.coalesce(word, token).alias("word"), before.alias("before"),
         prose.alias("after"), pick(["src/app", "lib/core", "src0"], 8).alias("path"),
         secret.cast("double").alias("label"))
 
 
+def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
+    """Labelled findings, derived from row numbers: keys as they stand in code and
+    settings, with and without digits, and what is often mistaken for them
+    (digests, ids, paths, numbers, placeholders, long words, names in code)."""
+    # One partition: the forest is the same on any cluster. Inside a lambda, so that
+    # the code of the rows is not generated (64 KB per method).
+    return (spark.range(0, n, 1, 1).select(let(F.col("id"), _finding).alias("r")).select("r.*")
+            .repartition(1))
+
+
 def train_forest(spark: SparkSession, findings: DataFrame | None = None):
     """A random forest over the features of the labelled findings."""
     from pyspark.ml.classification import RandomForestClassifier
@@ -161,7 +217,7 @@ def _in_word(x: Column) -> Column:
         left = F.when((k == 0) | gap.rlike("[A-Za-z0-9]"), gap).otherwise(F.concat(listed, gap))
         right = F.when(k == last, after).otherwise(F.regexp_extract(after, "^[^A-Za-z0-9]*", 0))
         before = (F.when(k == 0, x["b"])
-                  .when(gap.rlike("^[\"'`]?[=:]") | name.endswith("="), name)
+                  .when(gap.rlike("^[\"'`]?[=:]"), name)
                   .when(F.size(named) > 0, "").otherwise(x["b"]))
         return F.struct(x["i"].alias("i"), t.alias("t"), F.concat(left, t, right).alias("w"),
                         before.alias("b"), F.when(k == last, x["a"]).otherwise("").alias("a"))
