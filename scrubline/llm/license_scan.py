@@ -3,9 +3,10 @@
 Lines and paragraphs that hold a licence word are the candidates (whole texts
 are searched; headers, footers and licence files alike). Their term weights are
 compared with the templates by sparse joins on the term; the template side is a
-fixed small table and is broadcast. Document frequencies are counted over all
-candidates of the corpus, for the terms of the templates (a bounded table); any
-other term weighs like one that is met once.
+fixed small table and is broadcast. The cosine is taken over the templates'
+vocabulary: names, years and other words beside a notice have no weight, so that a
+notice scores alike in a small and a large corpus. Document frequencies are counted
+over all candidates of the corpus.
 
 A licence file (LICENSE, COPYING, ...) whose own text is recognised gives its
 licence to its directory. A file without a recognised licence takes that of the
@@ -116,8 +117,8 @@ def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     t = templates.join(weights, "term").withColumn("tw", F.col("ttf") * F.col("idf"))
     norms = t.groupBy("tid").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
     t = t.join(norms, "tid").select("tid", "license", "term", "tw", "tn")
-    w = cand.join(F.broadcast(weights), "term", "left").select(
-        "rid", "unit", "term", (F.col("tf") * F.coalesce("idf", idf(F.lit(1)))).alias("w"))
+    w = cand.join(F.broadcast(weights), "term").select(
+        "rid", "unit", "term", (F.col("tf") * F.col("idf")).alias("w"))
     length = w.groupBy("rid", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("un"))
     dot = (w.join(F.broadcast(t), "term").groupBy("rid", "unit", "tid", "license", "tn")
            .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))

@@ -294,3 +294,22 @@ def test_secrets_without_a_digit_or_with_a_late_one(spark):
     assert all(got[i] == f'password = "{secret_scan.MASK}" x' for i in range(len(keys)))
     assert got[100] == f"uses {secret_scan.MASK} here"
     assert all(got[200 + i] == t for i, t in enumerate(plain))
+
+
+def test_license_same_notice_in_small_and_large_corpus(spark):
+    notices = ["Copyright (c) 2024 Acme Corp. Released under the MIT License.",
+               "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+               "software and associated documentation files (the Software), to deal in the Software "
+               "without restriction, including without limitation the rights to use, copy, modify, "
+               "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+               "permit persons to whom the Software is furnished to do so, subject to the following "
+               "conditions: the above copyright notice and this permission notice shall be included"]
+    known = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0."]
+    for n in (20, 20_000):
+        rows = notices + [f"{known[i % 2]}" if i % 5 == 0 else f"copyright notice w{i} x{i} of y{i}"
+                          for i in range(n)]
+        df = spark.createDataFrame([(i, f"d{i}/x.py", t) for i, t in enumerate(rows)],
+                                   "doc_id long, path string, text string")
+        got = {r.doc_id: r.license for r in license_scan.scan(df).collect()}
+        assert [got[i] for i in range(2)] == ["MIT", "MIT"]
+        assert sum(x is not None for x in got.values()) == 2 + n // 5
