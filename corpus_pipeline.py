@@ -37,7 +37,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2048 ids."""
-    return packing.with_digest(packing.pack(docs)).select(
+    return packing.with_digest(packing.pack(docs, added=packing.added_tokens())).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

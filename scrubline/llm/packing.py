@@ -16,6 +16,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -44,33 +45,44 @@ def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def added_tokens(name: str = "byte_bpe_50k.json") -> dict[str, int]:
+    """The strings that the vocabulary's JSON file gives ids of their own."""
+    with open(public_vocabulary(name), encoding="utf-8") as f:
+        return {t["content"]: int(t["id"]) for t in json.load(f)["added_tokens"]}
+
+
 class TextEncoder:
-    """Whole texts to little-endian unsigned 32-bit ids. Control strings of the
-    vocabulary are ordinary text; no special ids are added."""
+    """Whole texts to little-endian unsigned 32-bit ids. ``added`` strings become
+    their one id wherever they stand, as with the vocabulary's JSON file; without
+    it, control strings are ordinary text. No other ids are added."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import base64
 
         import tiktoken
 
+        self.added = dict(added or {})
         with open(path, "rb") as f:
             ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f)}
         self.exact, self.plain = (
-            tiktoken.Encoding(name, pat_str=pat, mergeable_ranks=ranks, special_tokens={})
+            tiktoken.Encoding(name, pat_str=pat, mergeable_ranks=ranks,
+                              special_tokens=self.added)
             for name, pat in (("exact", PRESPLIT), ("plain", PRESPLIT_PLAIN)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         enc = self.exact if _SPACE_RUN.search(text) else self.plain
+        if any(t in text for t in self.added):
+            return array("I", enc.encode(text, allowed_special="all")).tobytes()
         return array("I", enc.encode_ordinary(text)).tobytes()
 
 
-def _encode_partition(path: str, end_id: int):
+def _encode_partition(path: str, end_id: int, added: dict[str, int] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, before, enc = TaskContext.get().partitionId(), 0, TextEncoder(path)
+        part, before, enc = TaskContext.get().partitionId(), 0, TextEncoder(path, added)
         end = end_id.to_bytes(ID_BYTES, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -90,20 +102,22 @@ def _encode_partition(path: str, end_id: int):
 
 
 def encode_documents(df: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """Pass 1: (doc_id, part, local_start, doc_tokens, ids), staged."""
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return stage(src.mapInArrow(
-        _encode_partition(path, end_id),
+        _encode_partition(path, end_id, added),
         "doc_id long, part long, local_start long, doc_tokens long, ids binary"), "packed_ids")
 
 
 def pack(df: DataFrame, path: str | None = None, length: int = SEQUENCE, end_id: int = END_ID,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text",
+         added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: doc_id, start (ids of the document before it), length,
     doc_tokens, sequence_id, offset (in that sequence) and ids (little-endian
-    unsigned 32-bit). Every sequence but the last is full: no id is padding."""
-    enc = encode_documents(df, path or public_vocabulary(), end_id, id_col, text_col)
+    unsigned 32-bit). Every sequence but the last is full: no id is padding.
+    ``added``: strings with ids of their own (:func:`added_tokens`)."""
+    enc = encode_documents(df, path or public_vocabulary(), end_id, id_col, text_col, added)
     # One row per partition of pass 1: the window and the broadcast are bounded
     # by the number of input splits.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

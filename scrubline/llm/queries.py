@@ -91,7 +91,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids; one row per piece."""
-    return packing.with_digest(packing.pack(table(spark, sf_dir, "documents"))).select(
+    return packing.with_digest(packing.pack(
+        table(spark, sf_dir, "documents"), added=packing.added_tokens())).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -313,3 +313,22 @@ def test_license_same_notice_in_small_and_large_corpus(spark):
         got = {r.doc_id: r.license for r in license_scan.scan(df).collect()}
         assert [got[i] for i in range(2)] == ["MIT", "MIT"]
         assert sum(x is not None for x in got.values()) == 2 + n // 5
+
+
+def test_packing_queries_encode_added_tokens_as_the_json_file(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "a <|endoftext",
+             "é  \t<|endoftext|>  ", " <|endoftext|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (QUERIES["op10_packing"](spark, str(tmp_path)),
+                corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        rows = {r.doc_id: r for r in got.collect()}
+        for i, t in enumerate(texts):
+            ids = np.array(tok.encode(t, add_special_tokens=False).ids + [1], "<u4")
+            assert (rows[i].doc_tokens, rows[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
