@@ -7,8 +7,10 @@ neither can forge a turn.
 
 Windows: token counts per turn are added up along the conversation (prefix
 sums); a turn's window follows from the sum before it, so spans are aligned with
-turns and need no sequential search. Every window gets the system turn, repeats
-up to ``history`` tokens of the turns before it, and carries a loss mask: the
+turns and need no sequential search. Every window gets the system turn, whatever
+its length: its tokens come off the budget of the conversation's windows. A window
+repeats up to ``history`` tokens of the turns before it, as far as the budget
+allows, and carries a loss mask: the
 assistant turns of its own span are targets, repeated ones are masked -- each
 target counts once over all windows.
 
@@ -30,6 +32,7 @@ from .common import stage
 START, END = "<|im_start|>", "<|im_end|>"
 BUDGET = 2048
 HISTORY = 512
+#: System turns up to this length leave the other turns their full share.
 SYSTEM = 512
 #: Turn numbers per chunk of the two-level prefix sums.
 CHUNK = 256
@@ -61,8 +64,9 @@ def token_count(c: Column) -> Column:
 
 
 def _turns(df: DataFrame) -> DataFrame:
-    """Turns with their prefix sums: p (tokens before) and e (spans cut by turns
-    too long to share a window)."""
+    """Turns with their prefix sums: p (tokens before), the place sp and tokens st of
+    the conversation's first system turn, and w and e (1 for a turn too long to share
+    a window; the next turn starts in a later stride anyway)."""
     t = df.select(F.col("conv_id").cast("long").alias("conv_id"),
                   F.col("turn").cast("long").alias("turn"),
                   F.coalesce("role", F.lit("")).alias("role"),
@@ -71,24 +75,29 @@ def _turns(df: DataFrame) -> DataFrame:
          .withColumn("chunk", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 62))))
          .withColumn("tokens", (token_count(F.col("text")) + token_count(F.col("role"))
                                 + TURN_TOKENS).cast("long")))
-    t = t.withColumn("long_turn", (F.col("tokens") > _STRIDE).cast("long"))
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     upto = Window.partitionBy("conv", "chunk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0)
-    t = t.withColumns({"p": F.sum("tokens").over(upto) - F.col("tokens"),
-                       "longs": F.sum("long_turn").over(upto)})
-    before = Window.partitionBy("conv").orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
+    t = t.withColumn("p", F.sum("tokens").over(upto) - F.col("tokens"))
+    whole = Window.partitionBy("conv").orderBy("chunk")
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    everywhere = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     zero = F.lit(0).cast("long")
-    chunks = t.groupBy("conv", "chunk").agg(F.sum("tokens").alias("ct"),
-                                            F.sum("long_turn").alias("cl"))
-    chunks = chunks.select("conv", "chunk", F.coalesce(F.sum("ct").over(before), zero).alias("p0"),
-                           F.coalesce(F.sum("cl").over(before), zero).alias("l0"))
-    t = t.join(chunks, ["conv", "chunk"]).withColumns({
-        "p": F.col("p") + F.col("p0"), "longs": F.col("longs") + F.col("l0")})
-    return t.select("conv", "conv_id", "role", "text", "tokens", "p",
-                    F.floor(F.col("p") / _STRIDE).alias("w"),
-                    (F.col("longs") * 2 - F.col("long_turn")).alias("e"))
+    chunks = t.groupBy("conv", "chunk").agg(
+        F.sum("tokens").alias("ct"),
+        F.min(F.when(F.col("role") == "system", F.struct("p", "tokens"))).alias("cs"))
+    chunks = chunks.select("conv", "chunk", "cs",
+                           F.coalesce(F.sum("ct").over(before), zero).alias("p0"))
+    first = F.first(F.when(F.col("cs").isNotNull(), F.struct(
+        (F.col("cs.p") + F.col("p0")).alias("p"), F.col("cs.tokens").alias("tokens"))),
+        ignorenulls=True).over(everywhere)
+    chunks = chunks.withColumn("s", first).select(
+        "conv", "chunk", "p0", F.col("s.p").alias("sp"), F.col("s.tokens").alias("st"))
+    t = t.join(chunks, ["conv", "chunk"]).withColumn("p", F.col("p") + F.col("p0"))
+    stride = _stride(F.col("st"))
+    return t.select("conv", "conv_id", "role", "text", "tokens", "p", "sp", "st",
+                    F.floor(F.col("p") / stride).alias("w"),
+                    (F.col("tokens") > stride).cast("long").alias("e"))
 
 
 #: Turns that start within one stride share a window; none of them is longer than
@@ -96,35 +105,44 @@ def _turns(df: DataFrame) -> DataFrame:
 _STRIDE = (BUDGET - HISTORY - SYSTEM) // 2
 
 
+def _stride(system: Column) -> Column:
+    """The stride beside a system turn of so many tokens: two of them are left two
+    thirds of the rest. One that fills the budget by itself cannot be helped."""
+    return F.when((system > SYSTEM) & (system < BUDGET), F.greatest(
+        F.lit(1), F.floor((F.lit(BUDGET) - system) / 3))).otherwise(F.lit(_STRIDE)).cast("long")
+
+
 def format_windows(df: DataFrame) -> DataFrame:
     """One row per window: conv_id, w and e (its place in the conversation),
     n_tokens, formatted, and parts: array of (kind, p, start, length, body,
     body_length, target) with 1-based code point positions in ``formatted``.
 
     kind 0 is the retained system turn, 1 repeated history, 2 the window's own
-    span. The loss mask is the body of every part with ``target``. A span above
-    the budget is a single long turn, which is kept whole."""
+    span. The loss mask is the body of every part with ``target``. A window is above
+    the budget only by a single long turn, its own or the system turn, which are
+    kept whole; history is repeated in what is left."""
     t = _turns(df).withColumn("head", F.concat(F.lit(START), _escape_role(F.col("role")),
                                                F.lit("\n")))
     # Read four times below.
     t = stage(t.withColumn("body", escape(F.col("text"))), "chat_turns")
     own = t.select("conv", "conv_id", "w", "e", F.lit(2).alias("kind"), "p", "tokens", "role",
                    "head", "body")
-    windows = t.groupBy("conv", "conv_id", "w", "e").agg(F.min("p").alias("p_first"))
-    # The first system turn of a conversation, if it is short enough to repeat.
-    system = (t.filter((F.col("role") == "system") & (F.col("tokens") <= SYSTEM))
-              .groupBy("conv").agg(F.min("p").alias("sp")))
-    windows = windows.join(system, "conv", "left")
+    windows = t.groupBy("conv", "conv_id", "w", "e").agg(
+        F.min("p").alias("p_first"), F.sum("tokens").alias("span"),
+        F.first("sp").alias("sp"), F.first("st").alias("st"))
+    retained = F.when(F.col("sp") < F.col("p_first"), F.col("st")).otherwise(0)
+    windows = windows.withColumn("room", F.least(
+        F.lit(HISTORY), F.lit(BUDGET) - F.col("span") - retained))
     sys_rows = windows.filter("sp < p_first").select(
         "conv", "conv_id", "w", "e", F.lit(0).alias("kind"), F.col("sp").alias("p"))
-    # History: turns that start within HISTORY tokens before the window; buckets
-    # of that width make it an equality join.
+    # History: turns that start within the room (HISTORY tokens at most) before the
+    # window; buckets of that width make it an equality join.
     bucket = F.floor((F.col("p_first") - 1) / HISTORY)
-    past = (windows.filter("p_first > 0")
+    past = (windows.filter("p_first > 0 and room > 0")
             .withColumn("bucket", F.explode(F.array(bucket, bucket - 1))))
     placed = t.select("conv", F.floor(F.col("p") / HISTORY).alias("bucket"), "p")
     history = past.join(placed, ["conv", "bucket"]).filter(
-        (F.col("p") < F.col("p_first")) & (F.col("p") >= F.col("p_first") - HISTORY)
+        (F.col("p") < F.col("p_first")) & (F.col("p") >= F.col("p_first") - F.col("room"))
         & ~F.col("p").eqNullSafe(F.col("sp"))).select(
         "conv", "conv_id", "w", "e", F.lit(1).alias("kind"), "p")
     repeated = sys_rows.unionByName(history).join(

@@ -332,3 +332,30 @@ def test_packing_queries_encode_added_tokens_as_the_json_file(spark, tmp_path):
         for i, t in enumerate(texts):
             ids = np.array(tok.encode(t, add_special_tokens=False).ids + [1], "<u4")
             assert (rows[i].doc_tokens, rows[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_chat_keeps_a_long_system_turn_in_every_window(spark):
+    rows = []
+    for conv, n in ((1, 600), (2, 1900), (3, 3000), (4, 20)):
+        rows += [(conv, 0, "system", "rule " * n)]
+        rows += [(conv, k, ("assistant", "user")[k % 2], f"turn {k} " * (20 + k % 40))
+                 for k in range(1, 120)]
+    rows += [(1, 120, "user", "long " * 1200), (1, 121, "assistant", "fin")]
+    win = chat_format.format_windows(spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string")).cache()
+    seen = collections.Counter()
+    for r in win.collect():
+        kinds = [x.kind for x in r.parts]
+        seen[r.conv_id] += 1
+        holds = [x for x in r.parts if x.p == 0 and x.kind in (0, 2)]
+        assert len(holds) == 1 and r.formatted.startswith("<|im_start|>system\nrule ")
+        # Over the budget only where one turn beside the system turn, or that alone, is.
+        assert r.n_tokens <= chat_format.BUDGET or r.conv_id == 3 or kinds == [0, 2]
+    assert min(seen.values()) > 3
+    got = {r.conv_id: r for r in chat_format.digests(win).collect()}
+    for c in (1, 2, 3, 4):
+        turns = [(r, t) for i, _, r, t in rows if i == c]
+        said = "".join(f"{r}\n{t}\n" for r, t in turns).encode()
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[c].turns_sha256 == hashlib.sha256(said).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
