@@ -5,7 +5,8 @@ are searched; headers, footers and licence files alike). Their term weights are
 compared with the templates by sparse joins on the term; the template side is a
 fixed small table and is broadcast. The cosine is taken over the templates'
 vocabulary: names, years and other words beside a notice have no weight, so that a
-notice scores alike in a small and a large corpus. Document frequencies are counted
+notice scores alike in a small and a large corpus. Names, versions and modifiers
+(``_DECIDING``) must agree, whatever the cosine. Document frequencies are counted
 over all candidates of the corpus.
 
 A licence file (LICENSE, COPYING, ...) whose own text is recognised gives its
@@ -28,6 +29,7 @@ from .common import let, stage
 
 THRESHOLD = 0.6
 
+_MODIFIERS = {"NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
 #: Notices by licence (fixed values).
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -38,14 +40,8 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
                    "this file except in compliance with the License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the "
-                "terms of the GNU General Public License as published by the Free Software "
-                "Foundation, either version 3 of the License, or any later version."),
-    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under "
-                 "the terms of the GNU Lesser General Public License version 2.1"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without "
                      "modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found "
                      "in the LICENSE file."),
@@ -54,21 +50,67 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
             "or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International "
-                  "License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-                     "International License."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+            "software and associated documentation files (the Software), to deal in the Software "
+            "without restriction, including without limitation the rights to use, copy, modify, "
+            "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+            "permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions:"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
+                   "this file except in compliance with the License. You may obtain a copy of the "
+                   "License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors "
+                     "may be used to endorse or promote products derived from this software "
+                     "without specific prior written permission."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+                "2.0. If a copy of the MPL was not distributed with this file, You can obtain one "
+                "at https://mozilla.org/MPL/2.0/."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+            "or without fee is hereby granted, provided that the above copyright notice and this "
+            "permission notice appear in all copies."),
+    ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and "
+                "related and neighboring rights to this work to the public domain worldwide under "
+                "CC0 1.0."),
+    ("CC0-1.0", "Released under the CC0 1.0 Universal Public Domain Dedication."),
+    ("CC0-1.0", "This work is licensed under a Creative Commons Zero 1.0 Universal License."),
     ("Proprietary", "All rights reserved. Confidential and proprietary; do not distribute."),
+    *((f"{gnu}-{v}", text.format(name=name, version=f"version {v.removesuffix('.0')}"))
+      for gnu, name, versions in (("GPL", "", ("2.0", "3.0")), ("LGPL", "Lesser ", ("2.1", "3.0")),
+                                  ("AGPL", "Affero ", ("3.0",)))
+      for v in versions for text in (
+          "This work is licensed under the GNU {name}General Public License, {version}.",
+          "This program is free software: you can redistribute it and/or modify it under the terms "
+          "of the GNU {name}General Public License as published by the Free Software Foundation, "
+          "either {version} of the License, or (at your option) any later version.",
+          "This library is free software; you can redistribute it and/or modify it under the terms "
+          "of the GNU {name}General Public License {version}")),
+    *((f"CC-BY{''.join(f'-{m}' for m in mods)}-4.0", text.format(
+        short="".join(f"-{m}" for m in mods), long="".join(f"-{_MODIFIERS[m]}" for m in mods)))
+      for mods in ((), ("SA",), ("NC",), ("ND",), ("NC", "SA"), ("NC", "ND")) for text in (
+          "This work is licensed under a Creative Commons Attribution{long} 4.0 International "
+          "License.", "Licensed under CC BY{short} 4.0.")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0",
+        "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+        "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0")),
 )
+#: Names, versions and modifiers: those of a template must all be in a notice, and
+#: a notice's modifiers all in a template of that family.
+_DECIDING = ("1", "2", "2.1", "3", "4", "mit", "apache", "mozilla", "mpl", "isc", "bsd", "gnu", "gpl",
+             "lgpl", "agpl", "lesser", "affero", "nc", "nd", "sa", "cc0", "zero", "unencumbered",
+             "unlicense", "endorse", "obtaining", "fee", "redistribution", "confidential")
+_FAMILIES = {"gnu": (("gnu", "gpl", "lgpl", "agpl"), ("lesser", "affero", "lgpl", "agpl")),
+             "cc": (("cc", "commons", "cc0"), ("nc", "nd", "sa", "cc0", "zero"))}
+#: One spelling of versions and modifiers.
+_SPELLINGS = ((r"(?<![a-z0-9])([la]?gpl|mpl)(?=v?[0-9])", "$1 "), (r"(?<![a-z0-9])v\.? ?(?=[0-9])", " "),
+              (r"(?<=[0-9])(?:\.0)+(?!\.?[0-9])", ""), (r"share[ -]?alike", "sa"),
+              (r"non[ -]?commercial", "nc"), (r"no[ -]?derivatives?|no[ -]?derivs?", "nd"))
 _CUE = (r"(?i)licen[sc]e|copyright|spdx|redistribut|permission (?:is|to)|public domain|"
-        r"all rights reserved|creative commons|\bCC[ -]BY")
+        r"all rights reserved|creative commons|\bCC[ -]BY|\bCC0\b|endorse or promote")
 #: What a lower-cased text must hold to have such a line at all (plain substrings:
 #: much faster than the pattern on texts that have none).
 _HINTS = ("licen", "copyright", "spdx", "redistribut", "permission ", "public domain",
-          "rights reserved", "creative commons", "cc by", "cc-by")
+          "rights reserved", "creative commons", "cc by", "cc-by", "cc0", "endorse or promote")
 _LICENSE_FILE = r"(?i)^(?:un)?licen[sc]e|^copying|^copyright|^notice"
 _TERM = r"[a-z][a-z0-9]*|[0-9]+(?:\.[0-9]+)*"
 
@@ -79,7 +121,10 @@ def _may_hold_notice(text: Column) -> Column:
 
 
 def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+    out = F.lower(text)
+    for pattern, to in _SPELLINGS:
+        out = F.regexp_replace(out, pattern, to)
+    return F.regexp_extract_all(out, F.lit(_TERM), F.lit(0))
 
 
 def _candidates(docs: DataFrame) -> DataFrame:
@@ -115,19 +160,33 @@ def own_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "term", idf(F.coalesce(F.col("df"), F.lit(0))).alias("idf"))
     # At most one row per term of the templates: a fixed, small table.
     t = templates.join(weights, "term").withColumn("tw", F.col("ttf") * F.col("idf"))
-    norms = t.groupBy("tid").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
-    t = t.join(norms, "tid").select("tid", "license", "term", "tw", "tn")
+    among = lambda terms: F.sum(F.col("term").isin(*terms).cast("int"))
+    own = ["tn", "td", *(f"t_{f}" for f in _FAMILIES)]
+    norms = t.groupBy("tid").agg(
+        F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"), among(_DECIDING).alias("td"),
+        *((among(of) > 0).alias(f"t_{f}") for f, (of, _) in _FAMILIES.items()))
+    t = t.join(norms, "tid").select("tid", "license", "term", "tw", *own)
     w = cand.join(F.broadcast(weights), "term").select(
         "rid", "unit", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    length = w.groupBy("rid", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("un"))
-    dot = (w.join(F.broadcast(t), "term").groupBy("rid", "unit", "tid", "license", "tn")
-           .agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))
-    cos = dot.join(length, ["rid", "unit"]).withColumn(
+    length = w.groupBy("rid", "unit").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("un"),
+        *(among(mods).alias(f"u_{f}") for f, (_, mods) in _FAMILIES.items()))
+    dot = (w.join(F.broadcast(t), "term").groupBy("rid", "unit", "tid", "license", *own)
+           .agg(F.sum(F.col("w") * F.col("tw")).alias("dot"), among(_DECIDING).alias("d"),
+                *(among(mods).alias(f"d_{f}") for f, (_, mods) in _FAMILIES.items())))
+    cos = dot.filter("d = td").join(length, ["rid", "unit"])
+    for f in _FAMILIES:
+        cos = cos.filter(~F.col(f"t_{f}") | (F.col(f"u_{f}") == F.col(f"d_{f}")))
+    cos = cos.withColumn(
         "score", F.round(F.col("dot") / (F.col("un") * F.col("tn")), 6)).filter(
         F.col("score") >= threshold)
-    best = cos.groupBy("rid").agg(F.min(F.struct((-F.col("score")).alias("s"),
-                                                 "license")).alias("b"))
-    return best.select("rid", "b.license", (-F.col("b.s")).alias("score"))
+    best = cos.groupBy("rid").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"),
+        F.max(F.col("license") == "BSD-3-Clause").alias("third"))
+    # The two BSD licences begin alike: the third clause decides.
+    name = F.when(F.col("third") & (F.col("b.license") == "BSD-2-Clause"),
+                  "BSD-3-Clause").otherwise(F.col("b.license"))
+    return best.select("rid", name.alias("license"), (-F.col("b.s")).alias("score"))
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",

@@ -359,3 +359,32 @@ def test_chat_keeps_a_long_system_turn_in_every_window(spark):
         loss = "".join(t for r, t in turns if r == "assistant")
         assert got[c].turns_sha256 == hashlib.sha256(said).hexdigest()
         assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_license_near_licences_stay_apart(spark):
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms "
+           "of the GNU %sGeneral Public License as published by the Free Software Foundation; either "
+           "version %s of the License, or (at your option) any later version.")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are "
+           "permitted provided that the following conditions are met:")
+    third = ("Neither the name of Acme nor the names of its contributors may be used to endorse or "
+             "promote products derived from this software without specific prior written permission.")
+    cc = "This work is licensed under a Creative Commons Attribution%s 4.0 International License."
+    want = [(gnu % ("", "2"), "GPL-2.0"), (gnu % ("", "3"), "GPL-3.0"), (gnu % ("Lesser ", "2.1"),
+            "LGPL-2.1"), (gnu % ("Lesser ", "3"), "LGPL-3.0"), (gnu % ("Affero ", "3"), "AGPL-3.0"),
+            ("Licensed under the GNU Lesser General Public License v3.0", "LGPL-3.0"),
+            (bsd, "BSD-2-Clause"), (bsd + "\n\n" + third, "BSD-3-Clause"), (third, "BSD-3-Clause"),
+            ("Released under the CC0 1.0 Universal public domain dedication", "CC0-1.0"),
+            ("Licensed under the Apache License, Version 1.1.", None), ("the license fee is due", None)]
+    for mods, name in (("", ""), ("-ShareAlike", "-SA"), ("-NonCommercial", "-NC"),
+                       ("-NoDerivatives", "-ND"), ("-NonCommercial-ShareAlike", "-NC-SA"),
+                       ("-NonCommercial-NoDerivatives", "-NC-ND")):
+        want += [(cc % mods, f"CC-BY{name}-4.0"), (f"Text under CC BY{name} 4.0.", f"CC-BY{name}-4.0")]
+    want += [(f"# SPDX-License-Identifier: {x}", x) for x in (
+        "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause",
+        "BSD-3-Clause", "CC0-1.0", "CC-BY-NC-SA-4.0", "MPL-2.0", "ISC")]
+    want += [("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0")]
+    df = spark.createDataFrame([(i, f"d{i}/x.py", f"a\n{t}\nb") for i, (t, _) in enumerate(want)],
+                               "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in license_scan.scan(df).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(want)] == want
