@@ -2,7 +2,8 @@
 
 1. A character trigram model is counted over *all* documents (per-task numpy
    counts, summed by Spark; at most ``CLASSES ** 3`` cells whatever the input).
-2. Tokens that look disguised -- digits or symbols among letters, letters run
+2. Tokens that look disguised -- digits or symbols among letters or at the ends
+   of a word (read with and without them), symbols alone, letters run
    on three times or more, letters spaced out one by one -- become a lattice:
    a symbol may stand for a letter, be an inserted separator, and a repeated
    letter may be one letter. Viterbi search (over trigram states) picks the
@@ -65,11 +66,17 @@ _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 #: What a text must hold before its tokens are looked at one by one.
 _TRIPLES = [c * 3 for c in LETTERS]
-_SYMBOL = re.compile(r"[0-9@$!|+(*_~^=#%&/\\'’-]")
+_SYMBOL = re.compile(r"[0-9@$!|+(*€£¡_~^=#%&/\\'’-]")
 _INNER_DOT = re.compile(r"\.[^\W\d_]")
 _SPACED_HINT = re.compile(r"\s\S[ ._*-]{1,2}\S[ ._*-]{1,2}\S")
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "…«»“”‘’–—¡¿"
 
+#: Symbols at a token's ends that are no letter in disguise.
+_OUTER = "".join(c for c in _EDGE if c not in LEET)
+#: Symbols that are punctuation at the ends of a word as often as not.
+_MARKS = set("!|+(*¡")
+_NUMBER = re.compile(r"[(+-]*[$€£]?\d[\d.,:;/%-]*[$€£+*|(]?!*")
+
 
 def _class_table() -> np.ndarray:
     table = np.zeros(0x10000, np.uint8)
@@ -143,7 +150,8 @@ class Restorer:
         # state: the last two classes -> (log-probability, back pointer chain)
         states = {(0, 0): (0.0, None)}
         last = ""
-        for ch in token:
+        first, end = (len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE)))
+        for at, ch in enumerate(token):
             steps = []  # (letter or None for nothing, channel log-probability)
             if ch.isalpha():
                 steps.append((ch, KEEP))
@@ -155,8 +163,8 @@ class Restorer:
                 if ch == last:
                     steps.append((None, REPEAT))
                 else:
-                    steps.append((None, DROP_DIGIT if ch in LEET and ch not in SEPARATORS
-                                  else INSERT))
+                    mark = ch in SEPARATORS or ch in _MARKS and not first <= at < end
+                    steps.append((None, DROP_DIGIT if ch in LEET and not mark else INSERT))
             last = ch
             new: dict = {}
             for (a, b), (score, chain) in states.items():
@@ -192,12 +200,12 @@ class Restorer:
                 found.update([self.decode(w) for w in plain if run in w])
         if _SYMBOL.search(low) or _INNER_DOT.search(low):
             for token in set(low.split()):
-                t = token.strip(_EDGE)
-                lead = token[token.index(t) - 1] if t and token[0] != t[0] else ""
-                if lead in ("@", "$") and t:
-                    found.add(self.decode(lead + t))
-                elif not t.isalpha() and _LETTER.search(t):
+                t, whole = token.strip(_EDGE), token.strip(_OUTER)
+                if not t.isalpha() and _LETTER.search(t):
                     found.add(self.decode(t))
+                # Symbols at the ends may be letters too, or all there is.
+                if whole != t and len(set(whole)) > 1 and not _NUMBER.fullmatch(whole):
+                    found.add(self.decode(whole))
         if _SPACED_HINT.search(low):
             found.update([self.decode(x) for x in _SPACED.findall(low)])
         found.discard("")

@@ -388,3 +388,20 @@ def test_license_near_licences_stay_apart(spark):
                                "doc_id long, path string, text string")
     got = {r.doc_id: r.license for r in license_scan.scan(df).collect()}
     assert [(t, got[i]) for i, (t, _) in enumerate(want)] == want
+
+
+def test_toxicity_symbols_at_the_ends_of_a_word(spark):
+    bad = ["idiot", "dumbass", "ass", "asshole"]
+    base = [(i, f"the small bird number {i} sang over the quiet garden wall and a class", 0)
+            for i in range(160)]
+    base += [(1000 + i, f"the small bird number {i} is an {bad[i % 4]} and sang", 1)
+             for i in range(120)]
+    hidden = ["a$$", "dumba$$", "dumba$$!", "@$$hole", "idi0t$", "!d!ot", "|diot", "4$$", "(4$$)", "@$$"]
+    clean = ["$455", "455!", "garden!", "(wall)", "*bird*", "+1", "2024!", "|", "***", "$5"]
+    docs = spark.createDataFrame(
+        [(i, t) for i, t, _ in base] + [(5000 + i, f"you are {w} today") for i, w in enumerate(hidden)]
+        + [(6000 + i, f"you are {w} today") for i, w in enumerate(clean)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in base], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.scores(docs, labels).collect()}
+    assert [w for i, w in enumerate(hidden) if not got[5000 + i]] == []
+    assert [w for i, w in enumerate(clean) if got[6000 + i]] == []
