@@ -250,14 +250,19 @@ class Evidence:
         return 1.0 - (1.0 - self.base) * math.prod([1.0 - x for x in p])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``sample`` labelled rows per label, none of them
-    held out; distinct texts. The drawn ids (bounded) are broadcast."""
-    kept = (labels.select(F.col("doc_id").cast("long").alias("i"),
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """(i, toxic) of the labelled ids, none of them held out."""
+    return (labels.select(F.col("doc_id").cast("long").alias("i"),
                           F.col("toxic").cast("int").alias("toxic"))
             .filter("i is not null and toxic in (0, 1)").groupBy("i").agg(
                 F.max("toxic").alias("toxic"))
             .filter(F.crc32(F.col("i").cast("string")) % 5 != 0))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(text, toxic) of at most ``sample`` labelled rows per label, none of them
+    held out; distinct texts. The drawn ids (bounded) are broadcast."""
+    kept = usable_labels(labels)
     order = (F.xxhash64("i"), F.col("i"))
     drawn = kept.filter("toxic = 1").orderBy(*order).limit(sample).union(
         kept.filter("toxic = 0").orderBy(*order).limit(sample))
@@ -304,7 +309,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = S
     # At most 2 * sample rows of at most CANDIDATES short features each.
     hits = rows.mapInArrow(_sample_features(model, wanted),
                            "features array<string>, toxic int").toPandas()
-    share = labels.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
+    share = usable_labels(labels).agg(F.avg("toxic")).first()[0] or 0.0
     return select_evidence([(list(f), int(y)) for f, y in zip(hits["features"], hits["toxic"])],
                            share)
 

@@ -405,3 +405,16 @@ def test_toxicity_symbols_at_the_ends_of_a_word(spark):
     got = {r.doc_id: r.predicted for r in toxicity.scores(docs, labels).collect()}
     assert [w for i, w in enumerate(hidden) if not got[5000 + i]] == []
     assert [w for i, w in enumerate(clean) if got[6000 + i]] == []
+
+
+def test_toxicity_ignores_held_out_labels(spark):
+    rows = [(i, f"the small bird number {i} sang" + (" you moron" if i % 3 == 0 or i % 50 == 0 else ""),
+             int(i % 3 == 0)) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(300)]
+    got = []
+    for change in (lambda y: y, lambda y: 1 - y, lambda y: 1, lambda y: None):
+        labels = spark.createDataFrame([(i, change(y) if held[i] else y) for i, _, y in rows],
+                                       "doc_id long, toxic int")
+        got.append({r.doc_id: r.score for r in toxicity.scores(docs, labels).collect()})
+    assert got[0] == got[1] == got[2] == got[3]
