@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_path
 
@@ -38,3 +40,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     A lambda variable is bound once per row, whereas a plain column expression
     that a higher-order function refers to is re-evaluated per element."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([part] * n, pa.int32()),
+             pa.array(range(before + 1, before + n + 1), pa.int64())],
+            names=[*batch.schema.names, "slice_", "local_"])
+        before += n
+
+
+def global_rank(df: DataFrame, order: list[str], out: str, label: str) -> DataFrame:
+    """``df`` with ``out``: 1, 2, 3... over all rows in ascending ``order``. Rows are
+    cut into key ranges and numbered inside them; what the ranges before hold (one
+    row per range) is added. No window over all rows."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = T.StructType([*df.schema.fields, T.StructField("slice_", T.IntegerType()),
+                           T.StructField("local_", T.LongType())])
+    cut = stage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                .mapInArrow(_numbered, schema), label)
+    before = Window.orderBy("slice_").rowsBetween(Window.unboundedPreceding, -1)
+    start = (cut.groupBy("slice_").agg(F.max("local_").alias("n_"))
+             .select("slice_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("start_")))
+    return cut.join(F.broadcast(start), "slice_").withColumn(
+        out, F.col("start_") + F.col("local_")).drop("slice_", "local_", "start_")

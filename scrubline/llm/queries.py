@@ -12,10 +12,12 @@ from . import (
     minhash,
     packing,
     quality_rules,
+    resampling,
     secret_scan,
     topk_search,
     toxicity,
     unigram_pieces,
+    warc,
 )
 from .common import stage, table
 
@@ -96,6 +98,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, the archives normalised and read back by their indexes."""
+    manifest = warc.archive_pages(table(spark, sf_dir, "pages"))
+    records = warc.read_records(warc.read_index(manifest), payload=False)
+    return records.filter(F.col("record_type").isin("response", "revisit")).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        "refers_to")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn by likeness to the benchmark texts."""
+    rows = resampling.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return resampling.draw(rows).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_topk_search": op2_topk_search,
@@ -107,4 +124,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op12_warc": op12_warc,
+    "op13_importance_resampling": op13_importance_resampling,
 }
