@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    hard_negatives,
     html_extract,
     license_scan,
     minhash,
@@ -98,6 +99,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every 100th embedding; every
+    seventh label is off by one."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, the archives normalised and read back by their indexes."""
     manifest = warc.archive_pages(table(spark, sf_dir, "pages"))
@@ -124,6 +133,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_warc": op12_warc,
     "op13_importance_resampling": op13_importance_resampling,
 }

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .common import stage
+from .common import file_system, stage
 
 ARCHIVE_BYTES = 256 << 20
 #: Payloads from this size on are stored once.
@@ -57,16 +57,8 @@ _LOG = ("archive string, position long, id long, url string, record_id string, "
 _MANIFEST = "source string, archive string, index string, records long, truncated boolean"
 
 
-def _at(uri: str):
-    """The file system and the path of a URI, as pyarrow names them."""
-    from pyarrow import fs
-
-    uri = re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", uri))
-    return fs.FileSystem.from_uri(uri)
-
-
 def _create(uri: str):
-    system, path = _at(uri)
+    system, path = file_system(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     return system.open_output_stream(path, compression=None)  # not by the name's ending
 
@@ -337,7 +329,7 @@ def _normaliser(folder: str):
                 known = {r["position"]: (r["refers_id"], r["refers_url"]) for r in known or ()}
                 stem = source.rsplit("/", 1)[1].removesuffix(".warc.gz")
                 archive = f"{folder}/{stem}-{uuid.uuid4().hex[:12]}.warc.gz"
-                system, path = _at(source)
+                system, path = file_system(source)
                 with (system.open_input_stream(path, compression=None) as src,
                       _create(archive) as out, _create(archive + ".idx") as idx):
                     n, cut = normalise_stream(src, out, idx, known)
@@ -386,7 +378,7 @@ _RECORD = ("id long, url string, record_id string, record_type string, payload_b
 def _index_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, index in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
-            system, path = _at(index)
+            system, path = file_system(index)
             with system.open_input_stream(path, compression=None) as src:
                 rows = [json.loads(x) for x in src.read().decode().splitlines()]
             yield pa.RecordBatch.from_arrays(
@@ -448,7 +440,7 @@ def _reader(payload: bool):
                 if archive != name:
                     if src is not None:
                         src.close()
-                    system, path = _at(archive)
+                    system, path = file_system(archive)
                     name, src = archive, system.open_input_file(path)
                 src.seek(offset)
                 r = parse_member(src.read(length), payload)
