@@ -2,13 +2,13 @@
 
 1. Every text becomes its set of word shingles (64-bit hashes), a signature of
    ``COORDS`` coordinates (each made of ``WIDTH`` minima, so that texts which only
-   share a frequent shingle rarely agree) and a 128-bit fingerprint of the set. Documents with equal
-   sets collapse to one representative, so exact copies cost nothing further.
-2. Representatives are posted under (coordinate, value) for the first
-   ``COORDS - MATCHES + 1`` coordinates only: two signatures that agree in
-   ``MATCHES`` or more coordinates must share one of those postings (prefix).
-   The other coordinates are skipped until a pair is a candidate, and then
-   counted from the two signatures.
+   share a frequent shingle rarely agree) and a bitmap of the set. Documents with
+   equal sets collapse to one representative, so exact copies cost nothing further.
+2. Representatives are posted under every (coordinate, value) pair, as (key, id).
+   Lists of one are dropped, and a document's remaining keys are put in order, the
+   rarest first. Documents that agree in ``MATCHES`` keys must share one before the
+   last ``MATCHES - 1`` of both (prefix), so every document's longest lists are
+   skipped until a pair is a candidate; then its collisions are counted.
 3. Candidates at or above the match threshold are confirmed on full sets, and
    components are built from the confirmed links.
 
@@ -17,18 +17,23 @@ list's members with one hub of the list; afterwards only pairs *between
 different components* can still matter, and these are held against a bound
 before they leave the join: a bitmap of the set's hashes (``BITS`` bits) shows
 how many shingles of one text are certainly not in the other. Long lists
-are first posted again under a second coordinate (a pair needs ``MATCHES - 1``
-further agreements).
+are first posted again under their members' next keys, up to paths of ``MATCHES``.
 So a group of n near copies costs about n comparisons, and no pair is left out.
 
+Only texts of confirmed candidates are hashed again, and only their sets are
+shuffled: a bitmap of the candidates' ids (:class:`common.IdFilter`, of bounded size)
+tells most other rows apart where they are read, at every size of the input alike.
+
 Recall: at the threshold of 0.8 a coordinate agrees with a chance of 0.8 ** 3, so
-a pair agrees in fewer than 2 of 24 with a chance of about 1e-6. 64-bit hashes stand for
-shingles in all comparisons.
+a pair agrees in fewer than 4 of 24 with a chance of about 1e-4 (measured in the
+tests), whereas a pair at 0.5 passes with 0.35 and one at 0.4 with 0.07. 64-bit
+hashes stand for shingles in all comparisons.
 
 Defined cases: null or empty texts (no word) have an empty set and link with
 nothing; a text shorter than a shingle is one shingle. Rows with a null id keep
-a null component and are kept. Rows that repeat an id are one document: its
-smallest text counts. Extra columns are ignored by :func:`components`.
+a null component and are kept. Rows that repeat an id are one document: the row
+with the smallest set (by size, then hash) counts, and one row is returned. Extra
+columns are ignored by :func:`components`.
 """
 
 from __future__ import annotations
@@ -40,15 +45,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import IdFilter, fresh, stage
 from .components import connected
 
 COORDS = 24
 WIDTH = 3
-MATCHES = 2
-PREFIX = COORDS - MATCHES + 1
+MATCHES = 4
 STAR_ROUNDS = 2
-#: A posting list with more members than this is posted under a second coordinate.
+#: A posting list with more members than this is posted again under further keys.
 LONG_LIST = 4096
 BITS = 1024
 #: Bytes of text that are hashed at once.
@@ -202,29 +206,30 @@ def _signed(size: int):
     return run
 
 
-def _full_sets(size: int):
+def _full_sets(size: int, ids: IdFilter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(ids.maybe(batch.column(0)))
             for row, h in _sets(batch.column(1), size):
+                with np.errstate(over="ignore"):
+                    f1 = int(_mix(h ^ _C2).sum(dtype=np.uint64).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, 1).cast(pa.int64()),
+                    [batch.column(0).slice(row, 1).cast(pa.int64()), pa.array([f1], pa.int64()),
                      pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()),
                                               pa.array(h.view(np.int64)))],
-                    names=["id", "shingles"])
+                    names=["id", "f1", "shingles"])
     return run
 
 
-def _agree(a, b):
-    """Coordinates in which two signatures agree."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e))
-
-
 class _Job:
     """The tables of one run, all staged under the shared folder."""
 
     def __init__(self, docs: DataFrame, size: int, num: int, den: int):
         self.docs, self.size, self.num, self.den = docs, size, num, den
-        self.sigs = stage(docs.mapInArrow(_signed(size), SIG_SCHEMA), "minhash_sigs")
+        # One row per id: the smallest of its sets.
+        row = F.min(F.struct("n_shingles", "f1", "f2", "sig", "bits")).alias("s")
+        self.sigs = stage(docs.mapInArrow(_signed(size), SIG_SCHEMA).groupBy("doc_id").agg(row)
+                          .select("doc_id", "s.*"), "minhash_sigs")
         # One representative per distinct set (a partial aggregate: copies meet
         # in the map tasks).
         reps = (self.sigs.filter("n_shingles > 0").groupBy("f1", "f2", "n_shingles")
@@ -233,63 +238,73 @@ class _Job:
         self.reps = stage(reps.select("id", F.col("n_shingles").alias("n"), "sig", "bits",
                                       "f1", "f2"),
                           "minhash_reps")
-        posts = self.reps.select("id", "n", F.posexplode(F.slice("sig", 1, PREFIX)).alias(
-            "c", "v")).select(F.xxhash64("c", "v").alias("key"), "c", "id", "n")
-        shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-        self.posts = stage(posts.join(shared.select("key"), "key"), "minhash_posts")
+        # Postings (key, id) of all coordinate-value pairs; those of one document
+        # only can make no collision.
+        posts = self.reps.select("id", F.posexplode("sig").alias("c", "v")).select(
+            F.xxhash64("c", "v").alias("key"), "id")
+        shared = stage(posts.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"),
+                       "minhash_shared")
+        # A document's keys, the rarest first: one order for all documents. With
+        # fewer than MATCHES of them it can be in no pair.
+        keys = (posts.join(shared, "key").groupBy("id")
+                .agg(F.array_sort(F.collect_list(F.struct("k", "key"))).alias("ks"))
+                .filter(F.size("ks") >= MATCHES)
+                .select("id", F.col("ks.key").alias("keys")))
+        self.members = stage(self.reps.join(keys, "id").select("id", "n", "f1", "keys", "bits"),
+                             "minhash_members")
         self.links = None
         self.comp = None  # (id, component) of linked representatives
 
-    def labelled(self, posts: DataFrame) -> DataFrame:
-        """Postings with their component, of lists that still hold two or more."""
+    def labelled(self, *more: str) -> DataFrame:
+        """Postings of the prefixes, with their component: of two documents that
+        share MATCHES keys or more, the first shared one lies before the last
+        MATCHES - 1 keys of both, so those (the longest lists) are skipped."""
+        members = self.members
         if self.comp is None:
-            return posts.withColumn("comp", F.col("id"))
-        out = posts.join(self.comp, "id", "left").select(
-            "key", "c", "id", "n", F.coalesce("component", "id").alias("comp"))
-        open_ = out.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        return out.join(open_.filter("lo < hi").select("key"), "key")
+            members = members.withColumn("comp", F.col("id"))
+        else:
+            members = members.join(self.comp, "id", "left").withColumn(
+                "comp", F.coalesce("component", "id"))
+        return members.select("id", "n", "comp", *more, F.posexplode(
+            F.slice("keys", 1, F.size("keys") - (MATCHES - 1))).alias("at", "key"))
 
     def alike(self, small, large):
         """Set sizes that allow the threshold at all."""
         return small * self.den >= large * self.num
 
-    def possible(self, x: str, y: str):
+    def possible(self, x, y, n, m):
         """Whether the bitmaps leave room for the threshold: every bit that only
         one side has stands for a shingle that the other lacks, and sets that
         reach num/den differ in (n + m) * (den - num) / (den + num) shingles at most."""
-        differ = F.lit(0)
-        for i in range(BITS // 64):
-            differ = differ + F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}")))
-        return differ * (self.den + self.num) <= (
-            F.col(f"{x}.n") + F.col(f"{y}.n")) * (self.den - self.num)
-
-    def first_list(self, x: str, y: str):
-        """Whether two members of a list agree in MATCHES coordinates and the
-        list's own is the first of them, so that a pair leaves one list only
-        (a list of two coordinates has none of its own)."""
-        same = F.zip_with(F.col(f"{x}.sig"), F.col(f"{y}.sig"), lambda p, q: p == q)
-        return ((F.size(F.filter(same, lambda e: e)) >= MATCHES)
-                & ((F.col(f"{x}.c") < 0) | (F.array_position(same, True) == F.col(f"{x}.c") + 1)))
+        differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                             F.lit(0), lambda s, v: s + v)
+        return differ * (self.den + self.num) <= (n + m) * (self.den - self.num)
 
     def confirm(self, pairs: DataFrame, label: str) -> None:
         """Keep candidate pairs that reach the match threshold, compare their full
         sets and bring the components up to date."""
-        sig = self.reps.select("id", "n", "sig")
-        a = sig.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-        b = sig.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-        cand = pairs.distinct().join(a, "a").join(b, "b").filter(
-            _agree(F.col("sa"), F.col("sb")) >= MATCHES).select("a", "b", "na", "nb")
+        def side(x):
+            return self.members.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"),
+                                       F.col("f1").alias(f"f{x}"), F.col("keys").alias(f"k{x}"),
+                                       F.col("bits").alias(f"b{x}"))
+
+        cand = pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(
+            (F.size(F.array_intersect("ka", "kb")) >= MATCHES)
+            & self.possible("ba", "bb", F.col("na"), F.col("nb"))).select(
+            "a", "b", "na", "nb", "fa", "fb")
         cand = stage(cand, label + "_pairs")
         if cand.isEmpty():
             return
-        ids = cand.select(F.col("a").alias("doc_id")).union(cand.select("b")).distinct()
-        sets = stage(self.docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-                     .mapInArrow(_full_sets(self.size), "id long, shingles array<long>"),
-                     label + "_sets")
-        sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("ha"))
-        sb = sets.select(F.col("id").alias("b"), F.col("shingles").alias("hb"))
+        ids = IdFilter(cand.select(F.explode(F.array("a", "b")).alias("id")))
+        sets = stage(self.docs.select("doc_id", "text").mapInArrow(
+            _full_sets(self.size, ids), "id long, f1 long, shingles array<long>"), label + "_sets")
+
+        def full(x):  # the set that stands for an id, should the id repeat
+            return sets.select(F.col("id").alias(x), F.col("f1").alias(f"f{x}"),
+                               F.col("shingles").alias(f"h{x}"))
+
         both = F.size(F.array_intersect("ha", "hb")).cast("long")
-        found = cand.join(sa, "a").join(sb, "b").filter(
+        found = cand.join(full("a"), ["a", "fa"]).join(full("b"), ["b", "fb"]).filter(
             both * self.den >= (F.col("na") + F.col("nb") - both) * self.num).select("a", "b")
         found = stage(found, label + "_links")
         self.links = found if self.links is None else self.links.union(found)
@@ -297,46 +312,67 @@ class _Job:
 
     def star_round(self, k: int) -> None:
         """Every member of a list against one hub; another hub order per round."""
-        posts = self.labelled(self.posts)
+        posts = stage(self.labelled().drop("at"), f"minhash_posts{k}")
         order = F.struct(F.lit(0).alias("o") if k == 0 else F.xxhash64(F.lit(k), "id").alias("o"),
                          F.col("id").alias("hub"), F.col("n").alias("hn"),
                          F.col("comp").alias("hc"))
-        hubs = posts.groupBy("key").agg(F.min(order).alias("h")).select("key", "h.*")
+        # Staged, so that the join has two plain sides and a hot list can be split.
+        hubs = stage(posts.groupBy("key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(order).alias("h"))
+            .filter("lo < hi").select("key", "h.*"), f"minhash_hubs{k}")
         pairs = posts.join(hubs, "key").filter(
             (F.col("comp") != F.col("hc"))
             & self.alike(F.least("n", "hn"), F.greatest("n", "hn")))
         self.confirm(pairs.select(F.least("id", "hub").alias("a"),
                                   F.greatest("id", "hub").alias("b")), f"minhash_star{k}")
 
+    def opened(self, posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(short, long): the postings of lists that hold two components or more,
+        with the list's first component; ``long`` those of over LONG_LIST postings."""
+        posts = stage(posts, "minhash_lists")
+        heads = stage(posts.groupBy("key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+            F.count(F.lit(1)).alias("k")).filter("lo < hi").drop("hi"), "minhash_heads")
+        out = posts.join(heads, "key")
+        return (out.filter(F.col("k") <= LONG_LIST).drop("k"),
+                out.filter(F.col("k") > LONG_LIST).drop("k", "lo"))
+
     def rest(self) -> None:
         """All pairs of a list that lie in different components."""
-        posts = stage(self.labelled(self.posts), "minhash_open")
-        size = posts.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
-        sized = posts.join(size, "key")
-        long_ = sized.filter(F.col("k") > LONG_LIST).join(
-            self.reps.select("id", "sig"), "id")
-        # A second coordinate: of any COORDS - MATCHES + 2 coordinates, a pair
-        # that agrees in MATCHES must share two, so one besides the list's own.
-        again = long_.select("key", "id", "n", "comp", F.posexplode(
-            F.slice("sig", 1, PREFIX + 1)).alias("c", "v"))
-        again = again.withColumn("first", F.xxhash64("c", "v")).filter("first <> key").select(
-            F.xxhash64("key", "first").alias("key"), F.lit(-1).alias("c"), "id", "n", "comp")
-        open_ = again.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        again = again.join(open_.filter("lo < hi").select("key"), "key")
-        short = sized.filter(F.col("k") <= LONG_LIST).select("key", "c", "id", "n", "comp")
-        lists = short.union(stage(again.select("key", "c", "id", "n", "comp"), "minhash_again"))
+        posts = self.labelled("keys", "bits").withColumn("path", F.array("key"))
+        lists, long_ = self.opened(posts)
+        # A long list is posted again under each member's next keys: of two
+        # documents that share MATCHES keys, the first d + 1 shared ones make a
+        # path that both have. So lists get shorter until a path has MATCHES keys.
+        for depth in range(1, MATCHES):
+            if long_.isEmpty():
+                break
+            last = F.size("keys") - (MATCHES - 1 - depth)
+            again = long_.select(
+                "id", "n", "comp", "keys", "bits", "path", "at", F.posexplode(
+                    F.slice("keys", F.col("at") + 2, F.greatest(F.lit(0), last - F.col("at") - 1))
+                ).alias("step", "next"))
+            again = again.withColumn("path", F.concat("path", F.array("next"))).select(
+                "id", "n", "comp", "keys", "bits", (F.col("at") + 1 + F.col("step")).alias("at"),
+                F.xxhash64("path").alias("key"), "path")
+            short, long_ = self.opened(again)
+            lists = lists.unionByName(short)
+        else:
+            lists = lists.unionByName(long_.join(
+                long_.groupBy("key").agg(F.min("comp").alias("lo")), "key"))
         # Members of the list's first component (most of a group of copies) are
         # only the other side of a pair, so a group is not held against itself.
-        first = lists.groupBy("key").agg(F.min("comp").alias("lo"))
-        words = [F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]
-        lists = stage(lists.join(first, "key").join(self.reps.select("id", "sig", *words), "id"),
-                      "minhash_lists")
+        lists = stage(lists, "minhash_open")
         x, y = lists.filter("comp <> lo").alias("x"), lists.alias("y")
+        common = F.array_intersect("x.keys", "y.keys")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key"))
                        & (F.col("x.comp") != F.col("y.comp"))
                        & ((F.col("y.comp") == F.col("y.lo")) | (F.col("x.id") < F.col("y.id")))
                        & self.alike(F.least("x.n", "y.n"), F.greatest("x.n", "y.n"))
-                       & self.possible("x", "y") & self.first_list("x", "y"))
+                       & self.possible("x.bits", "y.bits", F.col("x.n"), F.col("y.n"))
+                       & (F.size(common) >= MATCHES)
+                       # A pair leaves one list only: that of its first shared keys.
+                       & (F.slice(common, 1, F.size("x.path")) == F.col("x.path")))
         self.confirm(pairs.select(F.least("x.id", "y.id").alias("a"),
                                   F.greatest("x.id", "y.id").alias("b")), "minhash_rest")
 
@@ -353,9 +389,9 @@ def components(df: DataFrame, shingle_words: int = 2, threshold_pct: int = 80,
     job.rest()
     comp = job.comp if job.comp is not None else job.reps.select(
         "id", F.col("id").alias("component")).limit(0)
-    reps = job.reps.join(comp, "id", "left").select(
+    reps = stage(job.reps.join(comp, "id", "left").select(
         "f1", "f2", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"))
+        F.coalesce("component", "id").alias("component_id")), "minhash_found")
     out = job.sigs.select("doc_id", "n_shingles", "f1", "f2").join(
         reps, ["f1", "f2", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -368,8 +404,9 @@ def components(df: DataFrame, shingle_words: int = 2, threshold_pct: int = 80,
 
 def drop_near_copies(df: DataFrame, shingle_words: int = 5, threshold_pct: int = 80,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without the near copies: one document of each group stays."""
+    """The rows of ``df`` without the near copies: one document of each group stays
+    (with all its rows, should its id repeat)."""
     gone = components(df, shingle_words, threshold_pct, id_col, text_col).filter(~F.col("kept"))
     key = fresh(df, "gone")
-    ids = gone.select(F.col("doc_id").alias(key)).distinct()
+    ids = stage(gone.select(F.col("doc_id").alias(key)).distinct(), "minhash_gone")
     return df.join(ids, df[id_col] == ids[key], "left_anti")
