@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, global_rank, stage
+from .common import fresh, global_rank, let, stage
 
 BUCKETS = 10_000
 SEED = 7
@@ -244,9 +244,8 @@ def _key(names: list[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
-def _literal(df: DataFrame, names: list[str], values) -> Column:
-    return F.struct(*[F.lit(v).cast(df.schema[n].dataType).alias(n)
-                      for n, v in zip(names, values)])
+def _literal(types: dict, names: list[str], values) -> Column:
+    return F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, values)])
 
 
 def kth_key(df: DataFrame, names: list[str], k: int, pivots: int = PIVOTS) -> tuple:
@@ -254,28 +253,31 @@ def kth_key(df: DataFrame, names: list[str], k: int, pivots: int = PIVOTS) -> tu
     in that order), exactly: a distributed quickselect that leaves the rows where
     they are. Needs 1 <= k <= rows. The driver sees ``pivots`` keys a round."""
     rest, before, level = df.select(*names), 0, 0
+    types = {n: rest.schema[n].dataType for n in names}
     while True:
         level += 1
         pick = F.xxhash64(F.lit(level), *[F.col(n) for n in names])
         chosen = sorted({tuple(r) for r in rest.orderBy(pick).limit(pivots).collect()})
-        marks = [_literal(rest, names, p) for p in chosen]
+        marks = [_literal(types, names, p) for p in chosen]
         key = _key(names)
-        found = rest.agg(*[F.count_if(key < m).alias(f"less{i}") for i, m in enumerate(marks)],
-                         *[F.count_if(key == m).alias(f"same{i}")
-                           for i, m in enumerate(marks)]).collect()[0]
-        low = None
+        # Three-way: a row lies between two pivots or is equal to one.
+        spot = let(F.array(*marks), lambda ps: let(key, lambda x: F.struct(
+            F.size(F.filter(ps, lambda p: p < x)).alias("at"),
+            F.array_contains(ps, x).alias("same"))))
+        found = {(r["at"], r["same"]): r["n"] for r in rest.groupBy(spot.alias("s")).agg(
+            F.count(F.lit(1)).alias("n")).select("s.*", "n").collect()}
+        low, high, below = None, None, 0
         for i, p in enumerate(chosen):
-            less, same = found[f"less{i}"], found[f"same{i}"]
+            less = below + found.get((i, False), 0)
+            same = found.get((i, True), 0)
             if before + less >= k:
                 high = i
                 break
             if before + less + same >= k:
                 return p
-            low = i
-        else:
-            high = None
+            low, below = i, less + same
         if low is not None:
-            before += found[f"less{low}"] + found[f"same{low}"]
+            before += below
             rest = rest.filter(key > marks[low])
         if high is not None:
             rest = rest.filter(key < marks[high])
@@ -296,7 +298,8 @@ def draw(rows: DataFrame, min_words: int = MIN_WORDS, pct: int = DRAW_PCT) -> Da
                         F.coalesce("doc_id", F.lit(0)).alias("k3"), F.col("n_features").alias("k4"))
     names = ["k1", "k2", "k3", "k4"]
     last = kth_key(keyed.filter(eligible), names, k)
-    wins = eligible & (_key(names) <= _literal(keyed, names, last))
+    types = {n: keyed.schema[n].dataType for n in names}
+    wins = eligible & (_key(names) <= _literal(types, names, last))
     ranked = global_rank(keyed.filter(wins), names, "rank", "resampling_winners")
     # Rows equal to the k-th key in all of it may be more than are to be drawn.
     ranked = ranked.withColumn("rank", F.when(F.col("rank") <= k, F.col("rank")))
