@@ -19,8 +19,10 @@ per query; the final ranking keeps the k best.
 
 Values become floor(scale * x) as integers. Vectors that are null, or hold a
 null or non-finite component, or have a null id, take no part; a shorter vector
-counts as padded with zeros; ids that repeat are candidates of their own. Scores
-beyond 64 bits are clipped. Extra columns are ignored.
+counts as padded with zeros; ids that repeat are candidates of their own. Queries
+that repeat in id and vector count once; those that share an id only are answered
+each on its own (``query_id`` then has several lists). Scores beyond 64 bits are
+clipped. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,37 +57,37 @@ def _quantised(rows: list[list[float]], scale: int) -> np.ndarray:
     return np.floor(out * scale)
 
 
-def _blocks(scale: int):
+def _blocks(scale: int, side: str):
+    """Blocks of one side: ``row`` or ``query``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        held: dict[str, tuple[list, list]] = {"row": ([], []), "query": ([], [])}
-        size = {"row": ROWS_PER_BLOCK, "query": QUERIES_PER_BLOCK}
-        made = {"row": 0, "query": 0}
+        part, made = TaskContext.get().partitionId(), 0
+        ids: list = []
+        rows: list = []
+        most = {"row": ROWS_PER_BLOCK, "query": QUERIES_PER_BLOCK}[side]
 
-        def flush(side):
-            ids, rows = held[side]
+        def flush():
+            nonlocal made, ids, rows
             q = _quantised(rows, scale)
             # One number per block, unique over all partitions.
-            block, made[side] = (part << 24) + made[side], made[side] + 1
-            held[side] = ([], [])
-            return pa.RecordBatch.from_pydict({
+            block, made = (part << 24) + made, made + 1
+            out = pa.RecordBatch.from_pydict({
                 "side": pa.array([side]), "block": pa.array([block], pa.int64()),
                 "n": pa.array([q.shape[0]], pa.int32()), "dims": pa.array([q.shape[1]], pa.int32()),
                 "ids": pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
                 "values": pa.array([q.tobytes()], pa.binary())})
+            ids, rows = [], []
+            return out
 
         for batch in batches:
-            for i, v, is_query in zip(*(c.to_pylist() for c in batch.columns)):
-                for side in ("row", "query") if is_query else ("row",):
-                    held[side][0].append(i)
-                    held[side][1].append(v)
-                    if len(held[side][0]) == size[side]:
-                        yield flush(side)
-        for side in held:
-            if held[side][0]:
-                yield flush(side)
+            for i, v in zip(*(c.to_pylist() for c in batch.columns)):
+                ids.append(i)
+                rows.append(v)
+                if len(ids) == most:
+                    yield flush()
+        if ids:
+            yield flush()
     return run
 
 
@@ -112,7 +114,7 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def search_block(qids: np.ndarray, q: np.ndarray, kth: np.ndarray, ids: np.ndarray,
                  x: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, row ids, scores): at most k per query, none below ``kth``."""
+    """(query's number, row ids, scores): at most k per query, none below ``kth``."""
     dims = max(q.shape[1], x.shape[1])
     q, x = (np.pad(a, ((0, 0), (0, dims - a.shape[1]))) for a in (q, x))
     levels = []
@@ -137,7 +139,7 @@ def search_block(qids: np.ndarray, q: np.ndarray, kth: np.ndarray, ids: np.ndarr
         keep = score >= least
         left, score = left[keep], score[keep]
         best = np.lexsort((ids[left], -score))[:k]
-        yield int(qids[i]), ids[left[best]], score[best]
+        yield i, ids[left[best]], score[best]
 
 
 def _pairs(k: int):
@@ -149,16 +151,17 @@ def _pairs(k: int):
             kth = (np.frombuffer(q.kth, np.float64) if q.kth is not None
                    else np.full(q.n, -np.inf))
             for x in xdf.itertuples():
-                for qid, ids, score in search_block(
+                for i, ids, score in search_block(
                         qids, qv, kth, np.frombuffer(x.ids, np.int64),
                         np.frombuffer(x.values, np.float64).reshape(x.n, x.dims), k):
-                    out.append(pd.DataFrame({"query_id": qid, "vec_id": ids, "score": score}))
-        return (pd.concat(out) if out else
-                pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64"))
+                    out.append(pd.DataFrame({"block": q.block, "number": i, "query_id": qids[i],
+                                             "vec_id": ids, "score": score}))
+        return (pd.concat(out) if out else pd.DataFrame(
+            {c: [] for c in ("block", "number", "query_id", "vec_id", "score")}, dtype="int64"))
     return run
 
 
-_HITS = "query_id long, vec_id long, score long"
+_HITS = "block long, number long, query_id long, vec_id long, score long"
 
 
 def _warm(k: int):
@@ -172,7 +175,10 @@ def _warm(k: int):
                                      np.frombuffer(q.values, np.float64).reshape(q.n, q.dims), kth,
                                      np.frombuffer(x.ids, np.int64),
                                      np.frombuffer(x.values, np.float64).reshape(x.n, x.dims), k)
-                kth = np.array([s[-1] if len(s) == k else -np.inf for _, _, s in found])
+                kth = np.array([float(s[-1]) if len(s) == k else -np.inf for _, _, s in found],
+                               np.float64)
+                # Never above the integer it stands for.
+                kth = np.where(np.abs(kth) < _EXACT, kth, np.nextafter(kth, -np.inf))
             rows.append((q.block, kth.tobytes()))
         return pd.DataFrame(rows, columns=["of", "kth"])
     return run
@@ -188,7 +194,9 @@ def top_k(df: DataFrame, query_filter, k: int = 10, id_col: str = "vec_id",
         ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     src = df.filter(ok).select(F.col(id_col).cast("long").alias("i"), v.alias("v"),
                                F.coalesce(query_filter, F.lit(False)).alias("q"))
-    blocks = stage(src.mapInArrow(_blocks(scale), _BLOCKS), "topk_blocks")
+    asked = src.filter("q").select("i", "v").dropDuplicates(["i", "v"])
+    blocks = stage(src.select("i", "v").mapInArrow(_blocks(scale, "row"), _BLOCKS).union(
+        asked.mapInArrow(_blocks(scale, "query"), _BLOCKS)), "topk_blocks")
     rows, queries = blocks.filter("side = 'row'"), blocks.filter("side = 'query'")
     # Warm start: one block of rows (bounded) meets all query blocks.
     first = rows.orderBy("block").limit(1)
@@ -206,6 +214,7 @@ def top_k(df: DataFrame, query_filter, k: int = 10, id_col: str = "vec_id",
         rows, F.col("rx") == F.col("block"))
     hits = left.groupBy("qb", "xb").cogroup(right.groupBy("rq", "rx")).applyInPandas(
         _pairs(k), _HITS)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # A query is its place in its block: ids may repeat.
+    w = Window.partitionBy("block", "number").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
