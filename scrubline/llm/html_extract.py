@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
+#: The same once a quote has been found that nothing closes.
+_LENIENT = re.compile(
+    r"<!--(?:.*?-->|.*\Z)|()()()<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true)"
                      r"|display\s*:\s*none", re.I)
@@ -58,6 +61,10 @@ SCOPE = frozenset(("table", "ul", "ol", "dl", "article", "main", "section", "asi
                    "html", "div", "nav", "footer", "header", "form"))
 
 
+#: End tags of these close nothing around the innermost scope.
+_HELD = INLINE | {"p", "li", "td", "tr", "dd", "dt"}
+_RAW_END = {t: re.compile(r"</" + t + r"(?=[\s/>])", re.I) for t in sorted(RAW)}
+
 #: Nodes whose children may be article or surroundings alike.
 TOP = frozenset(("#page", "html", "body"))
 
@@ -84,14 +91,35 @@ class Page:
         return len(self.tag) - 1
 
     def _parse(self, src: str) -> None:
+        """In one pass: a tag whose quotes do not close is looked for once, after
+        which quotes mean nothing; and what is open is counted per tag, so that the
+        open elements are only gone through to be closed."""
         stack = [("#page", 0)]  # open elements: tag, node that their text belongs to
+        # Open elements per tag, of all and of those inside the innermost scope.
+        total: Counter[str] = Counter()
+        scopes: list[Counter[str]] = [Counter()]
         block, silent, links, at, run = 0, 0, 0, 0, -1
-
-        def pop() -> None:
+        markup, last_end = _MARKUP, src.rfind(">")
+
+        def push(tag: str, node: int) -> None:
+            nonlocal silent
+            stack.append((tag, node))
+            total[tag] += 1
+            scopes[-1][tag] += 1
+            if tag in SCOPE:
+                scopes.append(Counter())
+            silent += tag in SILENT
+
+        def pop() -> str:
             nonlocal silent, links
             tag = stack.pop()[0]
+            if tag in SCOPE:
+                scopes.pop()
+            scopes[-1][tag] -= 1
+            total[tag] -= 1
             silent -= tag in SILENT
             links -= tag == "a"
+            return tag
 
         def say(raw: str) -> None:
             nonlocal run
@@ -109,12 +137,14 @@ class Page:
 
         end = len(src)
         while at < end:
-            m = _MARKUP.search(src, at)
+            m = markup.search(src, at) if at <= last_end else None
             if m is None:
                 rest = src[at:]
                 cut = re.search(r"<[a-zA-Z/!?]", rest)  # a tag that the page's end cut off
                 say(rest[:cut.start()] if cut else rest)
                 break
+            if m[5]:
+                markup = _LENIENT  # no quote closes up to the page's end
             say(src[at:m.start()])
             at = m.end()
             name = m[2] or m[5]
@@ -122,16 +152,13 @@ class Page:
                 continue
             tag, closing = name.lower(), m[1] or m[4]
             if closing:
-                if tag == "p" and not any(t == "p" for t, _ in stack):
+                if tag == "p" and not total["p"]:
                     block, run = block + 1, -1
                     continue
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        while len(stack) > k:
-                            pop()
-                        break
-                    if stack[k][0] in SCOPE and tag in INLINE | {"p", "li", "td", "tr", "dd", "dt"}:
-                        break
+                # An end tag inside a scope does not close what is open around it.
+                if (scopes[-1] if tag in _HELD else total)[tag] > 0:
+                    while pop() != tag:
+                        pass
                 if tag not in INLINE:
                     block, run = block + 1, -1
                 continue
@@ -142,19 +169,16 @@ class Page:
             inline = tag in INLINE
             if not inline:
                 block, run = block + 1, -1
-                ends = CLOSES.get(tag, ()) if tag in CLOSES else ("p",)
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in ends:
-                        while len(stack) > k:
-                            pop()
-                        if tag != "tr" and tag != "tbody":
-                            break
-                    elif stack[k][0] in SCOPE:
+                ends = CLOSES.get(tag, ("p",))
+                while any(scopes[-1][e] > 0 for e in ends):
+                    while pop() not in ends:
+                        pass
+                    if tag != "tr" and tag != "tbody":
                         break
-            if tag in VOID or attrs.endswith("/") and tag not in INLINE and tag in VOID:
+            if tag in VOID:
                 continue
             if tag in RAW:
-                close = re.compile(r"</" + tag + r"(?=[\s/>])", re.I).search(src, at)
+                close = _RAW_END[tag].search(src, at)
                 if tag == "textarea" or not close:
                     at = close.start() if close else end
                     continue
@@ -165,8 +189,7 @@ class Page:
                 if inline:
                     run = -1
             hidden = bool(attrs) and bool(_HIDDEN.search(attrs))
-            stack.append((tag if not hidden else "template", node) if hidden else (tag, node))
-            silent += stack[-1][0] in SILENT
+            push("template" if hidden else tag, node)
             links += tag == "a" and not hidden
 
     def features(self) -> list[list[str]]:
