@@ -264,17 +264,23 @@ def scan(df: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "tex
 def redact(df: DataFrame, model=None, text_col: str = "text", path_col: str = "source",
            chars_col: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
     """``df`` with every confirmed secret replaced by a mask; all rows and columns
-    stay, and ``chars_col`` follows the new text."""
+    stay, and ``chars_col`` follows the new text. A secret is masked wherever it
+    stands as a whole run of key characters, and never inside a longer one (such as
+    a digest that begins like it)."""
     model = model or train_forest(df.sparkSession)
     path = F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     name = fresh(df, "secrets")
     out = df.withColumn(name, F.transform(F.filter(
         findings_column(F.coalesce(F.col(text_col), F.lit("")), path, model),
         lambda x: x["score"] >= threshold), lambda x: x["token"]))
-    # Longer tokens first: one may be part of another.
+    # Key characters have no meaning in a pattern, save for + (and - in a set).
+    whole = lambda t: F.concat(F.lit("(?<![A-Za-z0-9+/_-])"), F.replace(
+        t, F.lit("+"), F.lit("[+]")), F.lit("(?![A-Za-z0-9+/_-])"))
+    # Longer tokens first: one may be another with its padding.
     tokens = F.reverse(F.array_sort(F.transform(F.array_distinct(name), lambda t: F.struct(
         F.length(t).alias("n"), t.alias("t")))))
-    clean = F.aggregate(tokens, F.col(text_col), lambda acc, t: F.replace(acc, t["t"], F.lit(MASK)))
+    clean = F.aggregate(tokens, F.col(text_col), lambda acc, t: F.regexp_replace(
+        acc, whole(t["t"]), F.lit(MASK)))
     out = out.withColumn(text_col, F.when(F.size(name) > 0, clean).otherwise(F.col(text_col)))
     if chars_col and chars_col in df.columns:
         kind = df.schema[chars_col].dataType
