@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import duckdb
@@ -144,6 +145,99 @@ def test_minhash_last_round_finds_what_stars_leave(spark, monkeypatch, stars, lo
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _brute_components(docs, 2)
 
 
+def test_minhash_repeated_and_null_ids_and_clashing_columns(spark):
+    """Rows that share an id are one document (its smallest set counts); null ids
+    are kept; a group's document stays with all its rows."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "a"), (1, "quite another text", "b"), (2, text, "c"), (3, text + " x", "d"),
+            (4, "quite another text", "e"), (None, text, "f"), (None, None, "g"), (7, None, "h"),
+            (7, "", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _gone string").withColumns(
+        {c: F.lit(1) for c in ("id", "keys", "comp", "component", "n", "sig", "bits", "k")})
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept)
+           for r in minhash.components(df).collect()}
+    assert got == {(1, 2, 1, True), (4, 2, 1, False), (2, 39, 2, True), (3, 40, 2, False),
+                   (None, 39, None, True), (None, 0, None, True), (7, 0, 7, True)}
+    kept = minhash.drop_near_copies(df, shingle_words=2)
+    assert kept.columns == df.columns
+    assert sorted(r["_gone"] for r in kept.collect()) == list("abcfghi")
+    assert minhash.components(df.limit(0)).count() == 0
+    assert minhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_minhash_recall_at_the_threshold():
+    """Pairs of sets that just reach 0.8 share MATCHES keys or more."""
+    rng = np.random.default_rng(1)
+    missed, pairs = 0, 3000
+    for _ in range(pairs):
+        h = rng.integers(0, 1 << 63, 50 + 5).astype(np.uint64)
+        a, b = minhash.signature(h[:50]), minhash.signature(np.append(h[:45], h[50:]))
+        assert 45 / 55 >= 0.8
+        missed += (a == b).sum() < minhash.MATCHES
+    assert missed <= pairs // 500
+
+
+def test_topk_repeated_queries(spark):
+    vec = [[float((i * k) % 7 - 3) / 8 for k in range(1, 5)] for i in range(40)]
+    rows = [(i, v) for i, v in enumerate(vec)] + [(0, vec[0]), (20, vec[5]), (3, vec[3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.top_k(df, F.col("vec_id") % 20 == 0, k=4)
+    lists = collections.Counter()
+    for q, v in {(i, tuple(v)) for i, v in rows if i % 20 == 0}:
+        score = [(-sum(int(np.floor(1024 * x)) * int(np.floor(1024 * y)) for x, y in zip(v, w)), j)
+                 for j, w in rows if j != q]
+        for r, (s, j) in enumerate(sorted(score)[:4]):
+            lists[q, r + 1, j, -s] += 1
+    assert collections.Counter((r.query_id, r["rank"], r.vec_id, r.score)
+                               for r in got.collect()) == lists
+
+
+@pytest.mark.parametrize("source", [
+    "<p a='" * 170_000, "<div>" * 90_000 + "</p>" * 90_000, '<p class="' * 100_000,
+    "<b>" * 100_000 + "<p>" * 100_000, "<p><div>" + "<b>" * 100_000 + "<h1>" * 100_000,
+    "<p \"'>'" * 100_000, "<table>" * 50_000 + "<tr><td>" * 50_000])
+def test_html_hostile_pages_take_time_in_proportion(source):
+    begun = time.thread_time()
+    html_extract.Page(source)
+    assert time.thread_time() - begun < 10  # a scan per tag would take minutes
+
+
+def test_html_marginals_equal_enumeration():
+    """Sum-product on small trees against the sum over all assignments."""
+    model = html_extract.Model(
+        {"L0": 0.3, "L2": -1.1, "t:p": 0.9, "top:div": -0.4, "c:ad": -2.0, "t:div": 0.2},
+        [[[0.8, 0.2], [0.3, 0.7]], [[0.6, 0.4], [0.5, 0.5]]], 0.35)
+    for source in ("<p>one<p>two", "<div class=ad><p>x</p><a href=q>y</a></div><p>z",
+                   "<div><div><p>a</p></div>b</div>c"):
+        page = html_extract.Page(source)
+        n, feats = len(page.tag), page.features()
+        node = [1 / (1 + np.exp(-sum(model.weight.get(f, 0.0) for f in fs))) for fs in feats]
+        total = np.zeros(n)
+        mass = 0.0
+        for x in itertools.product((0, 1), repeat=n):
+            p = model.root if x[0] else 1 - model.root
+            for i in range(n):
+                p *= node[i] if x[i] else 1 - node[i]
+                if i:
+                    top = page.tag[page.parent[i]] in html_extract.TOP
+                    p *= model.edges[top][x[page.parent[i]]][x[i]]
+            mass += p
+            total += p * np.array(x)
+        assert np.allclose(model.marginals(page), total / mass, atol=1e-9)
+
+
+def test_secrets_are_masked_as_whole_runs_only(spark):
+    key = "9f86d081884c7d659a2feaa0c55ad015"
+    text = (f'api_key = "{key}" and sha256 {key}a3bf4f1b2b0b822cd15d6c15b0f00a08 '
+            f"or {key}/x-{key} and token={key}")
+    rows = [(1, text, "src/app", len(text)), (2, None, None, None), (3, "", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    out = {r.doc_id: r for r in secret_scan.redact(df).collect()}
+    assert out[1].text.startswith('api_key = "<SECRET>" and sha256 ' + key + "a3bf")
+    assert f"{key}/x-{key}" in out[1].text and out[1].n_chars == len(out[1].text)
+    assert out[2].text is None and out[3].text == ""
+
+
 def test_topk_is_exact_with_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=16).round(2).tolist()) for i in range(400)]
