@@ -27,14 +27,16 @@ def _json_options(keep_nulls: bool, ts_format: str) -> dict[str, str]:
 
 def encode_json(df: DataFrame, cols: Sequence[str] | None = None, *,
                 keep_nulls: bool = True, ts_format: str = NTZ_JSON_FORMAT,
-                as_bytes: bool = True, out_col: str = "value") -> DataFrame:
-    """Each row -> one JSON object (UTF-8 bytes by default) in ``out_col``.
+                as_bytes: bool = True, out_col: str = "value",
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Each row -> one JSON object (UTF-8 bytes by default) in ``out_col``, after the
+    columns ``keep`` (such as a record's key).
 
     Timestamps keep microseconds; NULL fields are written as ``null`` unless
     ``keep_nulls=False``."""
     cols = list(cols) if cols is not None else df.columns
     text = F.to_json(F.struct(*[F.col(c) for c in cols]), _json_options(keep_nulls, ts_format))
-    return df.select((text.cast("binary") if as_bytes else text).alias(out_col))
+    return df.select(*keep, (text.cast("binary") if as_bytes else text).alias(out_col))
 
 
 def decode_json(df: DataFrame, schema: T.StructType, *, value_col: str = "value",
@@ -60,11 +62,11 @@ def decode_json(df: DataFrame, schema: T.StructType, *, value_col: str = "value"
 def split_valid(decoded: DataFrame, required: Sequence[str] = ("id",)) -> DataFrame:
     """Tag each decoded row ``valid`` or ``quarantine``.
 
-    A row is valid when it parsed cleanly (no corrupt record) and every
-    ``required`` field is present. A missing key does *not* set the corrupt
+    A row is valid when it parsed cleanly (no corrupt record, if ``decoded`` has that
+    column) and every ``required`` field is present. A missing key does *not* set the corrupt
     record column, so it is tested separately. Rows are tagged, not split into
     two jobs, so one pass over the batch serves both destinations."""
-    ok = F.col(CORRUPT_COL).isNull()
+    ok = F.col(CORRUPT_COL).isNull() if CORRUPT_COL in decoded.columns else F.lit(True)
     for r in required:
         ok = ok & F.col(r).isNotNull()
     return decoded.withColumn(ROUTE_COL, F.when(ok, F.lit(VALID)).otherwise(F.lit(QUARANTINE)))
@@ -87,12 +89,13 @@ def stable_uuid(*cols: Column | str) -> Column:
     """UUID-shaped id derived from a SHA-256 of the given columns.
 
     Unlike ``uuid()`` it is the same every time a task is re-run, so a
-    recomputed partition (lost executor, replayed batch) writes the same ids."""
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0000"))
-             for c in cols]
-    h = F.sha2(F.concat_ws("\u0001", *parts), 256)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
-                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+    recomputed partition (lost executor, replayed batch) writes the same ids.
+    NULL if all columns are NULL: there is nothing to make an id from."""
+    given = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    h = F.sha2(F.concat_ws("\u0001", *[F.coalesce(g, F.lit("\u0000")) for g in given]), 256)
+    any_ = F.coalesce(*given).isNotNull()
+    return F.when(any_, F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12)))
 
 
 def flatten_observation(df: DataFrame, *, id_mode: str = "stable",
@@ -100,16 +103,19 @@ def flatten_observation(df: DataFrame, *, id_mode: str = "stable",
     """Nested weather document -> the flat 19-field observation.
 
     ``id_mode="stable"`` (default) derives the id from the natural key
-    (place + observation times) so replays are idempotent; ``"random"`` gives
-    a fresh UUID v4 per row, as a one-shot producer would."""
+    (place + observation times) so replays are idempotent; ``"random"`` gives a
+    fresh UUID v4 per row, as a one-shot producer would. Either is NULL for a
+    document without any of the natural key. ``_corrupt_record`` is carried along."""
     from ..schemas import WEATHER_FIELD_PATHS
 
+    natural = id_from or ["location.name", "location.region", "location.country",
+                          "location.localtime", "current.last_updated"]
     if id_mode == "random":
-        key = F.expr("uuid()")
+        key = F.when(F.coalesce(*[F.col(c).cast("string") for c in natural]).isNotNull(),
+                     F.expr("uuid()"))
     elif id_mode == "stable":
-        natural = id_from or ["location.name", "location.region", "location.country",
-                              "location.localtime", "current.last_updated"]
         key = stable_uuid(*natural)
     else:
         raise ValueError(f"unknown id_mode {id_mode!r}")
-    return flatten(df, WEATHER_FIELD_PATHS, key=key, key_name="id")
+    keep = [c for c in (CORRUPT_COL,) if c in df.columns]
+    return flatten(df, WEATHER_FIELD_PATHS, keep=keep, key=key, key_name="id")

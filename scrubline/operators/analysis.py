@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
+from ..functions.names import col as _c
+from ..functions.names import fresh, resolve
 from ..functions.text import numeric_text_eq
 from .cleaning import stage_parquet
 from .numbering import slice_count
@@ -88,45 +90,71 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "rol
     3. running sum inside each slice + offset,
     4. join the per-value totals back to the rows (skipped when unique).
     """
+    order_col, value_col = resolve(df, [order_col, value_col])
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {out!r} already; name another for the total")
+    k, v, pid, t, off = fresh([*df.columns, out], "k", "v", "pid", "t", "off")
     if unique_order:
         keyed = df
-        vcol = value_col
+        vcol, kcol = _c(value_col), _c(order_col)
     else:
-        keyed = df.groupBy(order_col).agg(F.sum(value_col).alias("_v"))
-        vcol = "_v"
-    sliced = keyed.repartitionByRange(slice_count(keyed), F.col(order_col).asc()).withColumn(
-        "_pid", F.spark_partition_id())
+        keyed = df.groupBy(_c(order_col).alias(k)).agg(F.sum(_c(value_col)).alias(v))
+        vcol, kcol = F.col(v), F.col(k)
+    sliced = keyed.repartitionByRange(slice_count(keyed), kcol.asc()).withColumn(
+        pid, F.spark_partition_id())
     # Written once: the totals and the rows must see the very same slices, whatever
     # the optimiser prunes or reuses.
     sliced = stage_parquet(sliced, "running_total")
-    slice_tot = sliced.groupBy("_pid").agg(F.sum(vcol).alias("_t"))
+    slice_tot = sliced.groupBy(pid).agg(F.sum(vcol).alias(t))
     # Offset of a slice = sum over all earlier slices; NULL when every earlier
     # value is NULL (SUM skips NULLs and is NULL only over no values).
     offsets = slice_tot.select(
-        "_pid",
-        F.sum("_t").over(Window.orderBy("_pid").rowsBetween(
-            Window.unboundedPreceding, -1)).alias("_off"))
-    inner = F.sum(vcol).over(Window.partitionBy("_pid").orderBy(F.col(order_col).asc()))
-    total = (F.when(inner.isNull() & F.col("_off").isNull(), F.lit(None))
-             .otherwise(F.coalesce(inner, F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0))))
-    prefixed = sliced.join(F.broadcast(offsets), "_pid").withColumn(out, total)
+        pid, F.sum(t).over(Window.orderBy(pid).rowsBetween(
+            Window.unboundedPreceding, -1)).alias(off))
+    inner = F.sum(vcol).over(Window.partitionBy(pid).orderBy(kcol.asc()))
+    total = (F.when(inner.isNull() & F.col(off).isNull(), F.lit(None))
+             .otherwise(F.coalesce(inner, F.lit(0)) + F.coalesce(F.col(off), F.lit(0))))
+    prefixed = sliced.join(F.broadcast(offsets), pid).withColumn(out, total)
     if unique_order:
-        return prefixed.select(*df.columns, out)
-    totals = prefixed.select(F.col(order_col).alias("_k"), out)
-    joined = df.join(totals, df[order_col].eqNullSafe(totals["_k"]), "left")
-    return joined.select(*df.columns, out)
+        return prefixed.select(*[_c(c) for c in df.columns], _c(out))
+    totals = prefixed.select(F.col(k), _c(out))
+    joined = df.join(totals, _c(order_col).eqNullSafe(F.col(k)), "left")
+    return joined.select(*[_c(c) for c in df.columns], _c(out))
 
 
-def top_n_per_group(df: DataFrame, group: str, order_col: str, n: int = 5,
+def top_n_per_group(df: DataFrame, group: str | Sequence[str], order_col: str, n: int = 5,
                     rank_col: str = "ranking", descending: bool = True,
-                    drop_null_group: bool = True) -> DataFrame:
+                    drop_null_group: bool = True, stage: bool = False) -> DataFrame:
     """``DENSE_RANK() OVER (PARTITION BY group ORDER BY order_col DESC) <= n``.
 
-    Ties share a rank, so more than ``n`` rows per group can come out. Spark
-    plans the rank filter as a partial ``WindowGroupLimit`` before the
-    shuffle and a final one after it, so a large group ships only its top
-    ranks from each map task."""
-    src = df.filter(F.col(group).isNotNull()) if drop_null_group else df
-    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    ranked = src.withColumn(rank_col, F.dense_rank().over(Window.partitionBy(group).orderBy(o)))
-    return ranked.filter(F.col(rank_col) <= n)
+    Ties share a rank, so more than ``n`` rows per group can come out. No window
+    goes over the rows: the group's distinct values are found first (partial
+    aggregation, so a tied value is one row per map task), their ``n`` best are
+    ranked (with a partial limit before the shuffle), and the rows are joined to these
+    thresholds, at most ``n`` rows per group. AQE can split a value that many rows share.
+
+    ``stage=True`` writes the thresholds first. Their size is then known when the
+    join is planned, and where Spark broadcasts such a size the rows stay where they were
+    read: for large tables whose groups are few. It runs a job while it is built."""
+    groups = resolve(df, group)
+    value, = resolve(df, order_col)
+    if rank_col.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {rank_col!r} already; name another for the rank")
+    src = df
+    if drop_null_group:
+        for g in groups:
+            src = src.filter(_c(g).isNotNull())
+    names = fresh([*df.columns, rank_col], *[f"g{i}" for i in range(len(groups))], "value")
+    keys, best = names[:-1], names[-1]
+    o = F.col(best).desc() if descending else F.col(best).asc()
+    values = src.select(*[_c(g).alias(k) for g, k in zip(groups, keys)],
+                        _c(value).alias(best)).distinct()
+    # Distinct values: their row number is the dense rank of the rows.
+    limits = values.withColumn(rank_col, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(o))).filter(_c(rank_col) <= n)
+    if stage:
+        limits = stage_parquet(limits, "top_n")
+    same = _c(value).eqNullSafe(F.col(best))
+    for g, k in zip(groups, keys):
+        same = same & _c(g).eqNullSafe(F.col(k))
+    return src.join(limits, same).select(*[_c(c) for c in df.columns], _c(rank_col))

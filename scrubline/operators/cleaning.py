@@ -6,6 +6,9 @@ move data. All three are written so that a single key holding a large share
 of the rows is collapsed map-side (partial aggregation / partial group
 limit), cut into range slices, or joined map-side against a bounded
 broadcast -- never gathered whole into one task (see docs/SKEW.md).
+
+Column names are matched as Spark does (without regard to case by default), and
+helper columns are named so that they clash with none of the table's.
 """
 
 from __future__ import annotations
@@ -15,8 +18,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import US_DATE_FORMAT
+from ..functions.names import col as _c
+from ..functions.names import fresh, resolve
 from ..functions.dates import parse_date as _parse_date_expr
 from ..functions.text import blank_to_null as _blank_expr
 from ..functions.text import starts_with, strip_trailing as _strip_expr
@@ -37,16 +43,41 @@ def _cols(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _order_spec(order: str | Sequence[str]) -> list[tuple[str, bool]]:
+def _order_spec(df: DataFrame, order: str | Sequence[str]) -> list[tuple[str, bool]]:
     """``["a", "-b"]`` -> [(a, ascending), (b, descending)]."""
     out = []
     for o in _cols(order):
-        out.append((o[1:], False) if o.startswith("-") else (o, True))
+        name, asc = (o[1:], False) if o.startswith("-") else (o, True)
+        out.append((resolve(df, name)[0], asc))
     return out
 
 
+def _fingerprint(keys: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits of a key. NULLs leave a hash as it was, so where they stand is
+    hashed as well."""
+    nulls = F.concat(*[F.when(_c(k).isNull(), "1").otherwise("0") for k in keys])
+    return tuple(F.xxhash64(F.lit(seed), nulls, *[_c(k) for k in keys]) for seed in (1, 2))
+
+
+def split_copies(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is certainly the only one, all others).
+
+    Only fingerprints of the keys are shuffled, 16 bytes a row. Those that occur
+    twice or more are joined back (broadcast by Spark where their measured size
+    allows), so a wide row that has no copy stays where it was read. Two keys with
+    one fingerprint are among the others, to be told apart by the keys themselves.
+    """
+    h1, h2 = fresh(df, "h1", "h2")
+    one, two = _fingerprint(keys)
+    marked = df.withColumns({h1: one, h2: two})
+    shared = (df.select(one.alias(h1), two.alias(h2)).groupBy(h1, h2)
+              .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    return (marked.join(shared, [h1, h2], "left_anti").select(*[_c(c) for c in df.columns]),
+            marked.join(shared, [h1, h2], "left_semi").select(*[_c(c) for c in df.columns]))
+
+
 def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
-           order: str | Sequence[str] | None = None) -> DataFrame:
+           order: str | Sequence[str] | None = None, wide: bool = False) -> DataFrame:
     """Keep one row per key.
 
     * ``keys=None`` (all columns, the exact-duplicate case): ``DISTINCT``,
@@ -57,13 +88,21 @@ def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
       computed as ``min``/``max`` of a struct led by the order columns -- an
       aggregate, so again partial per map task, with a deterministic winner
       even on ties (the whole row breaks them). NULL keys are one group.
+    * ``wide=True``, for keys such as whole texts: only 128-bit fingerprints are
+      shuffled, and full rows are compared only where a fingerprint occurs twice or
+      more (:func:`split_copies`). Reads ``df`` three times: for scans, or staged
+      tables; rows come as from the plain form.
     """
-    if keys is None or set(_cols(keys)) == set(df.columns):
-        return df.dropDuplicates()
-    keys = _cols(keys)
-    if order is None:
+    keys = list(df.columns) if keys is None else resolve(df, _cols(keys))
+    whole = set(keys) == set(df.columns)
+    if not whole and order is None:
         raise ValueError("dedupe on a key subset needs an explicit `order` for the survivor")
-    spec = _order_spec(order)
+    if wide:
+        single, others = split_copies(df, keys)
+        return single.unionByName(dedupe(others, keys, order))
+    if whole:
+        return df.dropDuplicates()
+    spec = _order_spec(df, order)
     directions = {asc for _, asc in spec}
     if len(directions) != 1:
         # Mixed directions cannot share one struct comparison: fall back to
@@ -73,42 +112,83 @@ def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
     asc = directions.pop()
     order_names = [n for n, _ in spec]
     rest = [c for c in df.columns if c not in keys and c not in order_names]
-    packed = F.struct(*[F.col(c) for c in order_names + rest])
+    packed = F.struct(*[_c(c) for c in order_names + rest])
     pick = F.min(packed) if asc else F.max(packed)
-    agg = df.groupBy(*keys).agg(pick.alias("_w"))
-    return agg.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])
+    won, = fresh(df, "w")
+    agg = df.groupBy(*[_c(k) for k in keys]).agg(pick.alias(won))
+    return agg.select(*[_c(c) if c in keys else _c(won)[c].alias(c) for c in df.columns])
 
 
 def _first_by_window(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]]) -> DataFrame:
     from pyspark.sql import Window
 
-    ordering = [F.col(n).asc() if a else F.col(n).desc() for n, a in spec]
-    ordering += [F.col(c).asc() for c in df.columns if c not in keys and c not in dict(spec)]
-    w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    ordering = [_c(n).asc() if a else _c(n).desc() for n, a in spec]
+    ordering += [_c(c).asc() for c in df.columns if c not in keys and c not in dict(spec)]
+    w = Window.partitionBy(*[_c(k) for k in keys]).orderBy(*ordering)
+    rn, = fresh(df, "rn")
+    return df.withColumn(rn, F.row_number().over(w)).filter(_c(rn) == 1).drop(rn)
 
 
 def number_duplicates(df: DataFrame, keys: str | Sequence[str] | None = None,
                       order: str | Sequence[str] | None = None,
-                      out: str = "row_num") -> DataFrame:
+                      out: str = "row_num", wide: bool = False) -> DataFrame:
     """Number the copies of each key 1..n (delete nothing).
 
     ``order`` is mandatory (a numbering without one is not reproducible);
     ties in ``order`` are broken by the remaining columns. See
-    :mod:`scrubline.operators.numbering` for the skew-safe plan."""
+    :mod:`scrubline.operators.numbering` for the skew-safe plan. ``wide`` as in
+    :func:`dedupe`: rows without a copy are number 1 and are not shuffled."""
     from .numbering import key_row_number
 
-    keys = _cols(keys) if keys is not None else list(df.columns)
+    keys = resolve(df, _cols(keys)) if keys is not None else list(df.columns)
     if order is None:
         raise ValueError("number_duplicates needs an explicit `order`")
-    return key_row_number(df, keys, _order_spec(order), out)
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {out!r} already; name another for the number")
+    if wide:
+        single, others = split_copies(df, keys)
+        return single.withColumn(out, F.lit(1)).unionByName(
+            key_row_number(others, keys, _order_spec(df, order), out))
+    return key_row_number(df, keys, _order_spec(df, order), out)
 
 
 def delete_where(df: DataFrame, predicate: Column | str) -> DataFrame:
     """``DELETE FROM t WHERE p``: drop rows where ``p`` is TRUE; rows where it
     is FALSE or UNKNOWN (NULL) stay, as in SQL."""
     p = F.expr(predicate) if isinstance(predicate, str) else predicate
-    return df.filter(~F.coalesce(p, F.lit(False)))
+    columns = _null_columns(df, p)
+    if columns:  # the same in a form that reaches the scan (IS NULL of a condition does not)
+        return df.filter(reduce(lambda a, c: a | _c(c).isNull(), columns, ~p))
+    return df.filter(~p | p.isNull())
+
+
+#: Comparisons that are NULL just where one of their columns is (Catalyst's names).
+_STRICT = {"EqualTo", "LessThan", "LessThanOrEqual", "GreaterThan", "GreaterThanOrEqual", "Not",
+           "In", "StartsWith", "EndsWith", "Contains", "Like"}
+
+
+def _null_columns(df: DataFrame, p: Column) -> list[str]:
+    """The columns of ``df`` whose being NULL makes the one comparison ``p`` NULL;
+    empty if ``p`` is anything else."""
+    plan = getattr(df.filter(p), "_jdf", None)
+    if plan is None:  # no plan to look at (Spark Connect)
+        return []
+    names: list[str] = []
+    todo = [plan.queryExecution().analyzed().expressions().head()]
+    while todo:
+        e = todo.pop()
+        kind = e.getClass().getSimpleName()
+        if kind == "AttributeReference":
+            names.append(e.name())
+        elif kind == "Literal":
+            if e.value() is None:
+                return []
+        elif kind in _STRICT:
+            kids = e.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+        else:
+            return []
+    return names if set(names) <= set(df.columns) else []
 
 
 def drop_all_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -123,10 +203,16 @@ def update_where(df: DataFrame, col: str, value: Column | object,
     """``UPDATE t SET col = value [WHERE p]``. Rows where ``p`` is FALSE or
     UNKNOWN keep their value. Column order is unchanged."""
     v = value if isinstance(value, Column) else F.lit(value)
+    known = {c.lower() for c in df.columns}
+    if col.lower() in known:
+        col, = resolve(df, col)
+        if where is not None:
+            p = F.expr(where) if isinstance(where, str) else where
+            v = F.when(p, v).otherwise(_c(col))
+        return df.withColumn(col, v.cast(df.schema[col].dataType))
     if where is not None:
-        p = F.expr(where) if isinstance(where, str) else where
-        v = F.when(p, v).otherwise(F.col(col))
-    return df.withColumn(col, v.cast(df.schema[col].dataType) if col in df.columns else v)
+        raise ValueError(f"no column {col!r} to update")
+    return df.withColumn(col, v)
 
 
 def trim(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -180,53 +266,63 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
     present -- are joined to them; all other rows pass through without a
     shuffle. AQE picks broadcast vs. sort-merge from the donors' real size.
 
-    Hot keys (``skew_guard``): a key holding more than 1/(4 x partitions) of
-    the rows to fill would make one join task hold all of them (AQE's skew
-    split does not apply: the donor side arrives pre-partitioned by its
-    aggregate). Such keys -- at most 4 x partitions of them, by counting --
-    are found with one aggregate, and their rows join a broadcast of just
-    their donors, map-side; the rest take the normal join.
+    Hot keys (``skew_guard``): a key holding a large share of the rows to fill
+    would make one join task hold all of them (AQE's skew split does not apply:
+    the donor side arrives pre-partitioned by its aggregate). A mergeable sketch
+    of the most frequent keys names at most 4 x partitions of them, and among
+    these every key that holds more than 1/(4 x partitions) of the rows. Their
+    donors, at most as many rows, are broadcast, so rows with hot keys are filled where they
+    were read; the rest take the normal join. The sketch is part of the plan: no
+    job runs before the result is asked for.
 
     The input is read several ways (kept rows, rows to fill, donors). When it
     is an expensive plan (joins, shuffles), pass ``stage=True`` to write it
     once as Parquet under the shared folder and read that instead; filters
     are otherwise pushed into each branch and the work is repeated.
     """
-    cols = _cols(cols)
+    key, = resolve(df, key)
+    cols = resolve(df, _cols(cols))
     if stage:
         df = stage_parquet(df, "fill_input")
-    needs = F.col(key).isNotNull() & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    donors = (df.filter(F.col(key).isNotNull())
-                .groupBy(key)
-                .agg(*[F.min(c).alias(f"_donor_{c}") for c in cols]))
+    needs = _c(key).isNotNull() & reduce(lambda a, b: a | b, [_c(c).isNull() for c in cols])
+    at, given, hot = fresh(df, "at", "given", "hot")
+    donors = (df.filter(_c(key).isNotNull())
+                .groupBy(_c(key).alias(at))
+                .agg(F.struct(*[F.min(_c(c)).alias(c) for c in cols]).alias(given)))
     needing = df.filter(needs)
-    hot = _hot_keys(needing, key) if skew_guard else []
-    if hot:
-        is_hot = F.col(key).isin(hot)
-        joined = (needing.filter(is_hot).join(F.broadcast(donors.filter(is_hot)), key, "left")
-                  .unionByName(needing.filter(~is_hot).join(donors, key, "left")))
-    else:
-        joined = needing.join(donors, on=key, how="left")
-    filled = joined.select(*[F.coalesce(F.col(c), F.col(f"_donor_{c}")).alias(c) if c in cols
-                             else F.col(c) for c in df.columns])
-    return df.filter(~needs).unionByName(filled)
-
-
-def _hot_keys(df: DataFrame, key: str, per_partition: int = 4) -> list:
-    """Keys holding more than total / (per_partition x shuffle partitions) rows.
-
-    Counts sum to the total, so fewer than ``limit = per_partition x
-    partitions`` keys qualify, and all of them are among the ``limit`` most
-    frequent: one job takes that bounded top list (partial top-k per task)
-    while an ``observe`` metric on the same aggregate yields the total."""
-    from pyspark.sql import Observation
 
+    def filled(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.coalesce(_c(c), _c(given)[c]).alias(c) if c in cols else _c(c)
+                             for c in df.columns])
+
+    kept = df.filter(~needs)
+    if not (skew_guard and isinstance(df.schema[key].dataType, _SKETCHED)):
+        return kept.unionByName(filled(needing.join(donors, _c(key) == _c(at), "left")))
+    frequent = _frequent_keys(needing, key, at)
+    # At most as many rows as the sketch names.
+    theirs = donors.join(F.broadcast(frequent), at).withColumn(hot, F.lit(True))
+    marked = needing.join(F.broadcast(theirs), _c(key) == _c(at), "left")
+    here = filled(marked.filter(_c(hot)))
+    cold = marked.filter(_c(hot).isNull()).select(*[_c(c) for c in df.columns])
+    return (kept.unionByName(here)
+            .unionByName(filled(cold.join(donors, _c(key) == _c(at), "left"))))
+
+
+#: Key types that the sketch of frequent items takes.
+_SKETCHED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+             T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.StringType)
+
+
+def _frequent_keys(df: DataFrame, key: str, out: str, per_partition: int = 4) -> DataFrame:
+    """At most ``limit = per_partition x partitions`` keys, among them every key
+    that holds more than 1/limit of the rows. The sketch (one per task, merged)
+    tracks eight times as many, which keeps its counts within 1/(4 x limit)."""
     from .numbering import slice_count
 
     limit = per_partition * slice_count(df)
-    obs = Observation("hot_keys")
-    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                .observe(obs, F.sum("_n").alias("total")))
-    top = counts.orderBy(F.col("_n").desc()).limit(limit).collect()
-    total = obs.get.get("total") or 0
-    return [r[key] for r in top if r["_n"] * limit > total]
+    top = F.expr(f"approx_top_k({_quoted(key)}, {limit}, {8 * limit})")
+    return df.agg(top.alias("top")).select(F.explode("top.item").alias(out))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

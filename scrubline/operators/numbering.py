@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import col, fresh
+
 
 def slice_count(df: DataFrame) -> int:
     """Number of range slices. Given explicitly, so AQE never coalesces the
@@ -25,7 +27,7 @@ def slice_count(df: DataFrame) -> int:
 
 
 def _sort_exprs(names_dirs):
-    return [F.col(n).asc() if a else F.col(n).desc() for n, a in names_dirs]
+    return [col(n).asc() if a else col(n).desc() for n, a in names_dirs]
 
 
 def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
@@ -33,46 +35,49 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
     order_names = [n for n, _ in spec]
     ties = [(c, True) for c in df.columns if c not in keys and c not in order_names]
     local_order = _sort_exprs(spec + ties)
+    key_cols = [col(k) for k in keys]
     if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*local_order)
+        w = Window.partitionBy(*key_cols).orderBy(*local_order)
         return df.withColumn(out, F.row_number().over(w))
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
+    pid, local_, first, last, last_n, cum, offset = fresh(
+        [*df.columns, out], "pid", "local", "first", "last_key", "last_n", "cum", "offset")
 
     full_order = _sort_exprs([(k, True) for k in keys]) + local_order
     sliced = df.repartitionByRange(slice_count(df), *full_order).withColumn(
-        "_pid", F.spark_partition_id())
+        pid, F.spark_partition_id())
     # Written once: bounds, counts and rows must see the very same slices, whatever
     # the optimiser prunes or reuses.
     from .cleaning import stage_parquet
 
     sliced = stage_parquet(sliced, "numbering")
     local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*local_order)))
+        local_, F.row_number().over(Window.partitionBy(pid, *key_cols).orderBy(*local_order)))
 
-    key_struct = F.struct(*[F.col(k) for k in keys])
+    key_struct = F.struct(*key_cols)
     # One row per non-empty slice: its first and last key, and how many rows
     # the last key has in the slice. Read from the range shuffle (key columns
     # only, no re-sort of full rows): bounds first, then a count of the rows
     # equal to the slice's last key against those (one row per slice) bounds.
-    bounds = sliced.groupBy("_pid").agg(F.min(key_struct).alias("_first"),
-                                        F.max(key_struct).alias("_last_key"))
+    bounds = sliced.groupBy(pid).agg(F.min(key_struct).alias(first),
+                                     F.max(key_struct).alias(last))
     # The bounds are carried through the count (not joined again), so they
     # are computed once.
-    edges = (sliced.join(F.broadcast(bounds), "_pid")
-             .filter(key_struct.eqNullSafe(F.col("_last_key")))
-             .groupBy("_pid", "_first", "_last_key").agg(F.count(F.lit(1)).alias("_last_n")))
+    edges = (sliced.join(F.broadcast(bounds), pid)
+             .filter(key_struct.eqNullSafe(F.col(last)))
+             .groupBy(pid, first, last).agg(F.count(F.lit(1)).alias(last_n)))
     # Rows of a key in earlier slices = running sum of its slice-final counts.
-    by_last = Window.partitionBy("_last_key").orderBy("_pid").rowsBetween(
+    by_last = Window.partitionBy(last).orderBy(pid).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    edges = edges.withColumn("_cum", F.sum("_last_n").over(by_last))
-    in_order = Window.orderBy("_pid")  # one row per slice: bounded by the partition count
+    edges = edges.withColumn(cum, F.sum(last_n).over(by_last))
+    in_order = Window.orderBy(pid)  # one row per slice: bounded by the partition count
     edges = edges.select(
-        "_pid", "_first",
-        F.when(F.col("_first").eqNullSafe(F.lag("_last_key").over(in_order)),
-               F.lag("_cum").over(in_order)).otherwise(F.lit(0)).alias("_offset"))
+        pid, first,
+        F.when(F.col(first).eqNullSafe(F.lag(last).over(in_order)),
+               F.lag(cum).over(in_order)).otherwise(F.lit(0)).alias(offset))
 
-    joined = local.join(F.broadcast(edges), on="_pid", how="left")
-    number = F.col("_local") + F.when(key_struct.eqNullSafe(F.col("_first")), F.col("_offset")) \
+    joined = local.join(F.broadcast(edges), on=pid, how="left")
+    number = F.col(local_) + F.when(key_struct.eqNullSafe(F.col(first)), F.col(offset)) \
         .otherwise(F.lit(0))
-    return joined.select(*df.columns, number.cast("int").alias(out))
+    return joined.select(*[col(c) for c in df.columns], number.cast("int").alias(out))

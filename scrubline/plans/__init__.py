@@ -2,6 +2,6 @@
 
 from .cleaning_job import CleanSpec, clean
 from .exploration import explore
-from .produce import produce
+from .produce import observations, produce
 
-__all__ = ["CleanSpec", "clean", "explore", "produce"]
+__all__ = ["CleanSpec", "clean", "explore", "observations", "produce"]

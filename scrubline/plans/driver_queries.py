@@ -11,6 +11,7 @@ shared folder (``spark.checkpoint.dir``), a fresh leaf per call.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -22,11 +23,16 @@ from ..functions.json import ROUTE_COL, decode_json, encode_json, flatten, split
 from ..operators import analysis as A
 from ..operators import cleaning as C
 from ..plans.cleaning_job import CleanSpec, clean
-from ..schemas import LAYOFFS_CLEAN, LAYOFFS_COLUMNS, NTZ_JSON_FORMAT
+from ..schemas import LAYOFFS_CLEAN, LAYOFFS_COLUMNS, NTZ_JSON_FORMAT, WEATHER_NESTED
+from ..plans.produce import observations, produce
 from ..session import shared_path
+from ..sources.keyed_table import KeyedTable
+from ..sources.record_log import Log, append_log, log_source, read_log, stream_log
 from ..sources.streams import landing_source, record_source
 from ..sources.tables import insert_into, stage_like, stage_table
-from ..streaming.ingest import dedupe_stream, latest_by_key, read_sink, run_ingest
+from ..streaming.ingest import (dedupe_stream, latest_by_key, read_sink, run_ingest, run_upsert,
+                                to_sink_types, write_batch)
+from ..streaming.seen import dedupe_lossless
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +63,8 @@ def stage_copy(spark, d):
 
 
 def stage_numbered(spark, d):
-    numbered = C.number_duplicates(_t(spark, d, "documents"), ["text"], order=["doc_id"])
+    numbered = C.number_duplicates(_t(spark, d, "documents"), ["text"], order=["doc_id"],
+                                   wide=True)
     first = _name("docs_numbered")
     stage_table(spark, first, schema=numbered.schema)
     second = _name("docs_numbered2")
@@ -72,12 +79,12 @@ def stage_numbered(spark, d):
 
 def dedup_documents(spark, d):
     docs = _t(spark, d, "documents")
-    return (C.dedupe(docs, ["text", "lang", "source"], order=["doc_id"])
+    return (C.dedupe(docs, ["text", "lang", "source"], order=["doc_id"], wide=True)
             .select("text", "lang", "source", "n_chars"))
 
 
 def dedup_text_lang(spark, d):
-    return C.dedupe(_t(spark, d, "documents").select("text", "lang"))
+    return C.dedupe(_t(spark, d, "documents").select("text", "lang"), wide=True)
 
 
 def dedup_orders(spark, d):
@@ -86,7 +93,7 @@ def dedup_orders(spark, d):
 
 
 def number_duplicates(spark, d):
-    return C.number_duplicates(_t(spark, d, "documents"), ["text"], order=["doc_id"])
+    return C.number_duplicates(_t(spark, d, "documents"), ["text"], order=["doc_id"], wide=True)
 
 
 # --------------------------------------------------------------------------
@@ -327,6 +334,175 @@ def stream_dedupe(spark, d):
     return read_sink(spark, sink).drop("batch_id", "written_at")
 
 
+def stream_dedupe_lossless(spark, d):
+    """Every event comes twice, in micro-batches up to all others apart and without
+    any order in time: each is kept once, none is dropped as late."""
+    events = _t(spark, d, "events")
+    folder = shared_path(spark, "topic", "events_twice")
+    for part in range(2):  # the second copies come after all the first ones
+        events.repartition(3, F.xxhash64("event_id", F.lit(part))).write.mode("append").parquet(folder)
+    sink = shared_path(spark, "sink", "lossless")
+    q = dedupe_lossless(
+        record_source(spark, folder, events.schema, max_files_per_trigger=1), "event_id",
+        shared_path(spark, "seen", "events"), shared_path(spark, "checkpoints", "lossless"),
+        functools.partial(write_batch, sink=sink), trigger="availableNow")
+    q.awaitTermination()
+    return read_sink(spark, sink).drop("batch_id", "written_at")
+
+
+def _user_rows(events: DataFrame) -> DataFrame:
+    return events.select("user_id", "ts", "event_id", "event_type", "value")
+
+
+def keyed_upsert(spark, d):
+    """The latest event of every user, in a keyed table that five batches of events
+    update, out of order in time, with one compaction between them."""
+    rows = _user_rows(_t(spark, d, "events"))
+    table = KeyedTable.create(spark, shared_path(spark, "tables", "users"), rows.schema, "user_id",
+                              order=["ts", "event_id"], buckets=16)
+    for batch, part in enumerate((3, 0, 4, 1, 2)):
+        table.upsert(rows.filter(F.col("event_id") % 5 == part), writer="loader", batch=batch)
+        if batch == 2:
+            table.compact()
+    return table.read()
+
+
+def stream_upsert(spark, d):
+    """The same by a stream of wire records; payloads that do not decode go aside."""
+    events = _t(spark, d, "events")
+    topic = shared_path(spark, "topic", "user_events")
+    wire = encode_json(_user_rows(events)).unionByName(
+        events.filter("event_type = 'error'").select(
+            F.concat(F.lit("garbage-"), "event_id").cast("binary").alias("value")))
+    wire.repartition(3, F.xxhash64("value")).write.parquet(topic)
+    table = KeyedTable.create(spark, shared_path(spark, "tables", "user_stream"),
+                              _user_rows(events).schema, "user_id", order=["ts", "event_id"],
+                              buckets=8)
+    q = run_upsert(record_source(spark, topic, T.StructType([T.StructField("value", T.BinaryType())]),
+                                 max_files_per_trigger=1),
+                   table, shared_path(spark, "checkpoints", "user_stream"),
+                   schema=_user_rows(events).schema, trigger="availableNow",
+                   quarantine=shared_path(spark, "sink", "user_quarantine"))
+    q.awaitTermination()
+    return table.read()
+
+
+def _weather_documents(events: DataFrame, *keep: str) -> DataFrame:
+    """Nested weather documents, one per event."""
+    minute = F.date_format("ts", "yyyy-MM-dd H:mm")
+    number = lambda m: F.pmod(F.col("event_id"), F.lit(m))
+    return events.select(
+        *keep,
+        F.struct(F.concat(F.lit("city"), "user_id").alias("name"),
+                 F.concat(F.lit("region"), number(7)).alias("region"),
+                 F.col("event_type").alias("country"), minute.alias("localtime")).alias("location"),
+        F.struct(F.col("value").cast("float").alias("temp_c"), minute.alias("last_updated"),
+                 F.struct(F.col("event_type").alias("text"),
+                          F.concat(F.lit("//icons/"), number(9), F.lit(".png")).alias("icon")
+                          ).alias("condition"),
+                 number(360).cast("int").alias("wind_degree"),
+                 number(100).cast("int").alias("humidity")).alias("current"))
+
+
+def produce_observations(spark, d):
+    """Nested documents land as files -> a stream flattens them, gives them ids and
+    writes JSON records to a log -> a second stream reads the log, decodes the
+    records and writes typed rows. (Documents of one place and minute share an id.)"""
+    landing = shared_path(spark, "landing", "documents")
+    _weather_documents(_t(spark, d, "events")).repartition(2).write.json(landing)
+    topic = shared_path(spark, "topic", "observations")
+    stream_log(produce(landing_source(spark, landing, WEATHER_NESTED, keep_corrupt=True)), topic,
+               shared_path(spark, "checkpoints", "producer"), writer="producer", partitions=3,
+               trigger="availableNow").awaitTermination()
+    sink = shared_path(spark, "sink", "observations")
+    run_ingest(log_source(spark, topic), sink, shared_path(spark, "checkpoints", "observations"),
+               transform=to_sink_types, trigger="availableNow").awaitTermination()
+    rows = read_sink(spark, sink)
+    return rows.groupBy("id", "location_city", "location_region", "location_country", "localtime",
+                        "last_updated", "description").agg(
+        F.count(F.lit(1)).alias("n"), F.min("icon").alias("icon"),
+        F.min("wind_degree").alias("wind_degree"), F.max("humidity").alias("humidity"),
+        F.max(F.col("current_temp_c").cast("decimal(12,2)")).alias("temp_c"))
+
+
+def _keyed_wire(events: DataFrame) -> DataFrame:
+    key = F.col("user_id").cast("string").cast("binary")
+    return encode_json(events.withColumn("key", key), events.columns, keep=["key"])
+
+
+def log_from_offsets(spark, d):
+    """A log read from explicit offsets: the events that were added after the first
+    half, in a stream whose second run finds nothing new."""
+    events = _t(spark, d, "events")
+    log = shared_path(spark, "topic", "from_offsets")
+    append_log(_keyed_wire(events.filter("event_id % 2 = 0")), log, partitions=3)
+    middle = Log(log).latest()["ends"]
+    append_log(_keyed_wire(events.filter("event_id % 2 = 1")), log)
+    sink, ckpt = shared_path(spark, "sink", "offsets"), shared_path(spark, "checkpoints", "offsets")
+    for _ in range(2):
+        run_ingest(log_source(spark, log, starting_offsets=middle), sink, ckpt,
+                   schema=events.schema, required=["event_id"],
+                   trigger="availableNow").awaitTermination()
+    return read_sink(spark, sink).drop("batch_id", "written_at")
+
+
+def log_latest_and_restart(spark, d):
+    """A stream that starts at the end of a log sees what is added later; after a
+    restart its checkpoint counts, whatever start position it is given."""
+    events = _t(spark, d, "events")
+    log = shared_path(spark, "topic", "latest")
+    append_log(_keyed_wire(events.filter("event_id % 3 = 0")), log, partitions=2)
+    sink, ckpt = shared_path(spark, "sink", "latest"), shared_path(spark, "checkpoints", "latest")
+    for start, part in (("latest", 1), ("earliest", 2)):
+        run_ingest(log_source(spark, log, starting_offsets=start), sink, ckpt,
+                   schema=events.schema, required=["event_id"],
+                   trigger="availableNow").awaitTermination()
+        append_log(_keyed_wire(events.filter(F.col("event_id") % 3 == part)), log)
+    run_ingest(log_source(spark, log), sink, ckpt, schema=events.schema, required=["event_id"],
+               trigger="availableNow").awaitTermination()
+    return read_sink(spark, sink).drop("batch_id", "written_at")
+
+
+def log_offsets(spark, d):
+    """The offsets of a log run without gaps in every partition, and a key has one
+    partition, over three appends."""
+    events = _t(spark, d, "events")
+    log = shared_path(spark, "topic", "offsets")
+    for part in range(3):
+        append_log(_keyed_wire(events.filter(F.col("event_id") % 3 == part)), log, partitions=4)
+    records = read_log(spark, log)
+    per = records.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"),
+        F.count_distinct("offset").alias("k"), F.count_distinct("key").alias("keys"))
+    return per.agg(F.sum("n").alias("n_records"), F.sum("keys").alias("n_keys"),
+                   F.sum(((F.col("lo") == 0) & (F.col("hi") + 1 == F.col("n"))
+                          & (F.col("k") == F.col("n"))).cast("int")).alias("whole"),
+                   F.count(F.lit(1)).alias("n_partitions")).select(
+        "n_records", "n_keys", (F.col("whole") == F.col("n_partitions")).alias("gapless"))
+
+
+def landing_quarantine(spark, d):
+    """Documents land as JSON lines, some of which are none: text, ``{}``, an array.
+    They are kept apart, with their raw text, and get no id."""
+    landing = shared_path(spark, "landing", "weather")
+    kind = F.col("event_type")
+    document = F.to_json(F.struct("location", "current"))
+    lines = _weather_documents(_t(spark, d, "events"), "event_id", "event_type").select(
+        F.when(kind == "error", F.concat(F.lit("garbage-"), "event_id"))
+        .when(kind == "signup", F.lit("{}")).when(kind == "purchase", F.lit("[1]"))
+        .otherwise(document).alias("value"))
+    lines.repartition(3, F.xxhash64("value")).write.text(landing)
+    sink = shared_path(spark, "sink", "weather")
+    q = run_ingest(observations(landing_source(spark, landing, WEATHER_NESTED, keep_corrupt=True)),
+                   sink, shared_path(spark, "checkpoints", "weather"), decode=False,
+                   trigger="availableNow")
+    q.awaitTermination()
+    return read_sink(spark, sink, route=None).groupBy(ROUTE_COL).agg(
+        F.count(F.lit(1)).alias("n"), F.count("id").alias("n_ids"),
+        F.count("_corrupt_record").alias("n_raw"),
+        F.min("_corrupt_record").alias("first_raw"), F.max("location_city").alias("last_city"))
+
+
 def latest_by_key_q(spark, d):
     return latest_by_key(_t(spark, d, "orders"), "o_custkey", ["-o_orderdate", "-o_orderkey"])
 
@@ -436,6 +612,14 @@ QUERIES: dict[str, QueryFn] = {
     "landing_ingest": landing_ingest,
     "stream_ingest": stream_ingest,
     "stream_dedupe": stream_dedupe,
+    "stream_dedupe_lossless": stream_dedupe_lossless,
+    "keyed_upsert": keyed_upsert,
+    "stream_upsert": stream_upsert,
+    "produce_observations": produce_observations,
+    "landing_quarantine": landing_quarantine,
+    "log_from_offsets": log_from_offsets,
+    "log_latest_and_restart": log_latest_and_restart,
+    "log_offsets": log_offsets,
     "latest_by_key": latest_by_key_q,
     "clean_layoffs": clean_layoffs,
     "running_total_rows": running_total_rows,

@@ -226,3 +226,43 @@ ORACLE_SQL["running_total_rows"] = """
     SELECT l_orderkey, l_linenumber, l_shipdate, CAST(l_quantity AS INTEGER) AS qty,
            CAST(sum(CAST(l_quantity AS INTEGER)) OVER (ORDER BY l_shipdate) AS BIGINT) AS shipped
     FROM lineitem"""
+
+ORACLE_SQL["stream_dedupe_lossless"] = "SELECT * FROM events"
+ORACLE_SQL["keyed_upsert"] = ORACLE_SQL["stream_upsert"] = """
+    SELECT user_id, ts, event_id, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events)
+    WHERE rn = 1"""
+ORACLE_SQL["produce_observations"] = """
+WITH f AS (
+  SELECT *, 'city' || user_id AS city, 'region' || (event_id % 7) AS region,
+         strftime(ts, '%Y-%m-%d %-H:%M') AS minute
+  FROM events),
+h AS (
+  SELECT *, sha256(concat_ws(chr(1), city, region, event_type, minute, minute)) AS x FROM f)
+SELECT substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4) || '-'
+         || substr(x, 17, 4) || '-' || substr(x, 21, 12) AS id,
+       city AS location_city, region AS location_region, event_type AS location_country,
+       date_trunc('minute', ts) AS localtime, date_trunc('minute', ts) AS last_updated,
+       event_type AS description, count(*) AS n, min('//icons/' || (event_id % 9) || '.png') AS icon,
+       CAST(min(event_id % 360) AS INTEGER) AS wind_degree,
+       CAST(max(event_id % 100) AS INTEGER) AS humidity,
+       CAST(max(CAST(CAST(value AS FLOAT) AS DECIMAL(12, 2))) AS DECIMAL(12, 2)) AS temp_c
+FROM h GROUP BY ALL"""
+ORACLE_SQL["landing_quarantine"] = """
+WITH f AS (
+  SELECT CASE WHEN event_type IN ('error', 'signup', 'purchase') THEN 'quarantine'
+              ELSE 'valid' END AS route,
+         CASE WHEN event_type = 'error' THEN 'garbage-' || event_id
+              WHEN event_type = 'purchase' THEN '[1]' END AS raw,
+         'city' || user_id AS city
+  FROM events)
+SELECT route, count(*) AS n, count(*) FILTER (route = 'valid') AS n_ids, count(raw) AS n_raw,
+       min(raw) AS first_raw, max(CASE WHEN route = 'valid' THEN city END) AS last_city
+FROM f GROUP BY route"""
+ORACLE_SQL["log_from_offsets"] = "SELECT * FROM events WHERE event_id % 2 = 1"
+ORACLE_SQL["log_latest_and_restart"] = "SELECT * FROM events WHERE event_id % 3 > 0"
+ORACLE_SQL["log_offsets"] = """
+    SELECT CAST(count(*) AS BIGINT) AS n_records, CAST(count(DISTINCT user_id) AS BIGINT) AS n_keys,
+           true AS gapless
+    FROM events"""

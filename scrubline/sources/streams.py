@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.json import CORRUPT_COL
 from ..schemas import WEATHER_NESTED
 
 
@@ -42,10 +43,14 @@ def record_source(spark: SparkSession, path: str, schema: T.StructType, *, fmt:
 
 
 def landing_source(spark: SparkSession, path: str, schema: T.StructType = WEATHER_NESTED, *,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None,
+                   keep_corrupt: bool = False) -> DataFrame:
     """Documents landing as JSON files (one or more documents per file, one per
     line) streamed with a declared nested schema -- the distributed stand-in
-    for polling a REST endpoint."""
+    for polling a REST endpoint. ``keep_corrupt`` adds ``_corrupt_record``, the raw
+    text of what is not such a document, so that it can be quarantined."""
+    if keep_corrupt and CORRUPT_COL not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType())])
     return record_source(spark, path, schema, fmt="json",
                          max_files_per_trigger=max_files_per_trigger)
 

@@ -1,7 +1,9 @@
 """Structured Streaming ingestion and keyed sinks."""
 
 from .ingest import (decode_stream, dedupe_stream, latest_by_key, read_sink, run_ingest,
-                     stream_sink, to_sink_types, write_batch)
+                     run_upsert, stream_sink, to_sink_types, write_batch)
+from .seen import SeenKeys, dedupe_lossless
 
-__all__ = ["decode_stream", "dedupe_stream", "latest_by_key", "read_sink", "run_ingest",
-           "stream_sink", "to_sink_types", "write_batch"]
+__all__ = ["SeenKeys", "decode_stream", "dedupe_lossless", "dedupe_stream", "latest_by_key",
+           "read_sink", "run_ingest", "run_upsert", "stream_sink", "to_sink_types",
+           "write_batch"]

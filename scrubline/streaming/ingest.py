@@ -25,9 +25,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import parse_timestamp
+from ..functions.names import fresh, resolve
 from ..functions.json import CORRUPT_COL, ROUTE_COL, VALID, decode_json, split_valid
 from ..operators.cleaning import dedupe
 from ..schemas import WEATHER_FLAT, WEATHER_TIME_FORMAT
+from ..sources.keyed_table import KeyedTable
 
 log = logging.getLogger(__name__)
 
@@ -121,12 +123,57 @@ def _batch_writer(batch_df: DataFrame, batch_id: int, *, sink: str, fmt: str,
                 options=options)
 
 
+def run_upsert(source: DataFrame, table: KeyedTable, checkpoint: str, *,
+               schema: T.StructType = WEATHER_FLAT, decode: bool = True,
+               transform: Callable[[DataFrame], DataFrame] | None = None,
+               quarantine: str | None = None, trigger: str | None = None,
+               query_name: str | None = None) -> StreamingQuery:
+    """Start ``source -> decode -> keyed table``: every micro-batch updates the rows
+    of its keys. A batch counts once, however often it is replayed (the table notes
+    the last batch of each query). Rows that do not decode, or lack a key, go to the
+    folder ``quarantine`` (:func:`write_batch`), and without one they fail the batch."""
+    if not checkpoint:
+        raise ValueError("run_upsert needs a checkpoint location")
+    if decode:
+        df = decode_stream(source, schema, required=table.keys, transform=transform)
+    else:
+        df = transform(source) if transform is not None else source
+
+    def each(batch_df: DataFrame, batch_id: int) -> None:
+        writer = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch_df
+        if ROUTE_COL in rows.columns:
+            bad = rows.filter(F.col(ROUTE_COL) != VALID)
+            if quarantine is not None:
+                write_batch(bad, batch_id, quarantine)
+                rows = rows.filter(F.col(ROUTE_COL) == VALID)
+            elif not bad.isEmpty():
+                raise ValueError(f"batch {batch_id} has rows that are not valid")
+        table.upsert(rows, writer=writer or "direct", batch=batch_id)
+
+    w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if query_name:
+        w = w.queryName(query_name)
+    if trigger == "availableNow":
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None,
               route: str | None = VALID, fmt: str = "parquet") -> DataFrame:
     """All batches of a sink (``batch_id`` and ``written_at`` columns included);
     ``route`` selects the valid or quarantine rows when the sink is routed
     (partition pruning)."""
     reader = spark.read.format(fmt)
+    if not _holds_files(spark, sink):  # no batch with rows yet
+        if schema is None:
+            raise ValueError(f"{sink} holds no rows yet: give a schema to read it as empty")
+        batch = [] if BATCH_COL in schema.names else [T.StructField(BATCH_COL, T.LongType())]
+        written = ([] if WRITTEN_COL in schema.names
+                   else [T.StructField(WRITTEN_COL, T.TimestampType())])
+        return spark.createDataFrame([], T.StructType(schema.fields + written + batch))
     if schema is not None:
         known = {f.name for f in schema.fields}
         extra = [T.StructField(WRITTEN_COL, T.TimestampType()),
@@ -142,6 +189,15 @@ def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None
     return df
 
 
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a batch has been written under ``path`` (two levels of folders)."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    glob = sc._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{QUERY_COL}=*/{BATCH_COL}=*")
+    return bool(fs.exists(root) and fs.globStatus(glob))
+
+
 def latest_by_key(df: DataFrame, key: str | Sequence[str],
                   order: str | Sequence[str] | None = None) -> DataFrame:
     """Latest row per key (keep-latest upsert semantics on read). ``order``
@@ -157,20 +213,20 @@ def dedupe_stream(df: DataFrame, key: str | Sequence[str], event_time: str,
                   delay: str) -> DataFrame:
     """In-stream keyed dedup: ``dropDuplicatesWithinWatermark``. There is no
     default ``delay``: a row that comes in a later batch behind the watermark is
-    dropped, so the caller has to state how late rows can be (the lossless way
-    is ``latest_by_key`` on read). Needs a
+    dropped, so the caller has to state how late rows can be (the lossless ways
+    are :func:`scrubline.streaming.dedupe_lossless` and ``latest_by_key`` on read). Needs a
     TIMESTAMP event time; a zone-less (NTZ) column is cast for the watermark
     only (helper column, dropped after), so the output keeps its type. State
     is bounded by the watermark delay."""
     keys = [key] if isinstance(key, str) else list(key)
+    event_time, = resolve(df, event_time)
     dtype = df.schema[event_time].dataType
+    wm = event_time
     if isinstance(dtype, T.TimestampNTZType):
-        wm = "_event_time"
+        wm, = fresh(df, "event_time")
         df = df.withColumn(wm, F.col(event_time).cast("timestamp"))
-    else:
-        wm = event_time
-    out = df.withWatermark(wm, delay).dropDuplicatesWithinWatermark(keys)
-    return out.drop("_event_time") if wm == "_event_time" else out
+    out = df.withWatermark(wm, delay).dropDuplicatesWithinWatermark(resolve(df, keys))
+    return out.drop(wm) if wm != event_time else out
 
 
 def stream_sink(df: DataFrame, checkpoint: str, *, kind: str = "files", path: str | None = None,

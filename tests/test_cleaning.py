@@ -181,11 +181,12 @@ def test_fill_from_peers_hot_key_split_matches_plain_join(spark):
         F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("v"), F.col("id") % 7))
          .alias("v"),
         "id")
-    from scrubline.operators.cleaning import _hot_keys
+    from scrubline.operators.cleaning import _frequent_keys
 
     # 800 rows to fill: "hot" holds 400, keys 5/15/25/35 hold 100 each; all are
     # above 1/(4 x 8 partitions) of the total, no other key has a NULL.
-    assert sorted(_hot_keys(df.filter("v IS NULL"), "k")) == ["15", "25", "35", "5", "hot"]
+    hot = _frequent_keys(df.filter("v IS NULL"), "k", "k").collect()
+    assert sorted(r.k for r in hot) == ["15", "25", "35", "5", "hot"]
     guarded = C.fill_from_peers(df, "k", "v")
     plain = C.fill_from_peers(df, "k", "v", skew_guard=False)
     assert rows(guarded) == rows(plain)
