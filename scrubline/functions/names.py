@@ -38,3 +38,13 @@ def resolve(df: DataFrame, names: str | Sequence[str]) -> list[str]:
 def col(name: str) -> Column:
     """A column by its very name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def collated(df: DataFrame, names: Sequence[str], collation: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with helper columns in which the text columns among ``names`` compare as
+    ``collation`` has it (such as ``UNICODE_CI_AI``: without regard to case and accents),
+    and the names to compare by. The columns themselves stay as they are."""
+    text = [n for n in names if df.schema[n].dataType.typeName() == "string"]
+    helper = dict(zip(text, fresh(df, *[f"as{i}" for i in range(len(text))])))
+    return (df.withColumns({h: F.collate(col(n), collation) for n, h in helper.items()}),
+            [helper.get(n, n) for n in names])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
 from ..functions.names import col as _c
-from ..functions.names import fresh, resolve
+from ..functions.names import collated, fresh, resolve
 from ..functions.text import numeric_text_eq
 from .cleaning import stage_parquet
 from .numbering import slice_count
@@ -31,14 +31,24 @@ def numeric_text_equals(df: DataFrame, col: str, value: float,
 
 
 def total_by(df: DataFrame, keys: Sequence[Column | str] | Column | str, measure: Column | str,
-             out: str = "total", sort: str | None = "desc") -> DataFrame:
+             out: str = "total", sort: str | None = "desc",
+             collation: str | None = None) -> DataFrame:
     """``SELECT keys, SUM(measure) AS out GROUP BY keys ORDER BY out DESC``.
 
     Partial + final hash aggregation (map-side combine), so a hot key costs
     one row per map task in the shuffle. The final sort is a range-partitioned
-    distributed sort. NULL sums (all-NULL groups) sort last in DESC."""
+    distributed sort. NULL sums (all-NULL groups) sort last in DESC.
+    ``collation``: text keys compare by it; a group is shown as its smallest key by bytes."""
     keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
-    agg = df.groupBy(*[_as_col(k) for k in keys]).agg(F.sum(_as_col(measure)).alias(out))
+    if collation is not None:
+        src = df.select(*[_as_col(k) for k in keys], _as_col(measure).alias(out))
+        names = src.columns[:-1]
+        with_keys, by = collated(src, names, collation)
+        agg = with_keys.groupBy(*[_c(b) for b in by]).agg(
+            *[F.min(_c(n)).alias(n) for n, b in zip(names, by) if n != b], F.sum(_c(out)).alias(out))
+        agg = agg.select(*[_c(n) for n in names], _c(out))
+    else:
+        agg = _total(df, keys, measure, out)
     if sort == "desc":
         agg = agg.orderBy(F.col(out).desc())
     elif sort == "asc":
@@ -46,6 +56,10 @@ def total_by(df: DataFrame, keys: Sequence[Column | str] | Column | str, measure
     return agg
 
 
+def _total(df: DataFrame, keys: list, measure: Column | str, out: str) -> DataFrame:
+    return df.groupBy(*[_as_col(k) for k in keys]).agg(F.sum(_as_col(measure)).alias(out))
+
+
 def total_by_period(df: DataFrame, date_col: str, measure: Column | str, period: str = "year",
                     keys: Sequence[str] = (), out: str = "total", period_name: str | None = None,
                     drop_null_period: bool | None = None, sort: str | None = None) -> DataFrame:
@@ -124,7 +138,8 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out: str = "rol
 
 def top_n_per_group(df: DataFrame, group: str | Sequence[str], order_col: str, n: int = 5,
                     rank_col: str = "ranking", descending: bool = True,
-                    drop_null_group: bool = True, stage: bool = False) -> DataFrame:
+                    drop_null_group: bool = True, stage: bool = False,
+                    collation: str | None = None) -> DataFrame:
     """``DENSE_RANK() OVER (PARTITION BY group ORDER BY order_col DESC) <= n``.
 
     Ties share a rank, so more than ``n`` rows per group can come out. No window
@@ -135,9 +150,14 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], order_col: str, n
 
     ``stage=True`` writes the thresholds first. Their size is then known when the
     join is planned, and where Spark broadcasts such a size the rows stay where they were
-    read: for large tables whose groups are few. It runs a job while it is built."""
+    read: for large tables whose groups are few. It runs a job while it is built.
+    ``collation``: text groups compare by it."""
     groups = resolve(df, group)
     value, = resolve(df, order_col)
+    if collation is not None:
+        with_groups, by = collated(df, groups, collation)
+        return top_n_per_group(with_groups, by, value, n, rank_col, descending, drop_null_group,
+                               stage).select(*[_c(c) for c in df.columns], _c(rank_col))
     if rank_col.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"the table has a column {rank_col!r} already; name another for the rank")
     src = df

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import US_DATE_FORMAT
 from ..functions.names import col as _c
-from ..functions.names import fresh, resolve
+from ..functions.names import collated, fresh, resolve
 from ..functions.dates import parse_date as _parse_date_expr
 from ..functions.text import blank_to_null as _blank_expr
 from ..functions.text import starts_with, strip_trailing as _strip_expr
@@ -77,7 +77,8 @@ def split_copies(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFra
 
 
 def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
-           order: str | Sequence[str] | None = None, wide: bool = False) -> DataFrame:
+           order: str | Sequence[str] | None = None, wide: bool = False,
+           collation: str | None = None) -> DataFrame:
     """Keep one row per key.
 
     * ``keys=None`` (all columns, the exact-duplicate case): ``DISTINCT``,
@@ -92,9 +93,17 @@ def dedupe(df: DataFrame, keys: str | Sequence[str] | None = None,
       shuffled, and full rows are compared only where a fingerprint occurs twice or
       more (:func:`split_copies`). Reads ``df`` three times: for scans, or staged
       tables; rows come as from the plain form.
+    * ``collation`` (off by default): text keys compare by it. The survivor is the
+      first row in ``order``, then the smallest by its bytes.
     """
     keys = list(df.columns) if keys is None else resolve(df, _cols(keys))
     whole = set(keys) == set(df.columns)
+    if collation is not None:
+        if wide:
+            raise ValueError("fingerprints compare bytes: no collation with wide=True")
+        with_keys, by = collated(df, keys, collation)
+        one = dedupe(with_keys, by, order if order is not None else list(df.columns))
+        return one.select(*[_c(c) for c in df.columns])
     if not whole and order is None:
         raise ValueError("dedupe on a key subset needs an explicit `order` for the survivor")
     if wide:
@@ -131,13 +140,15 @@ def _first_by_window(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]
 
 def number_duplicates(df: DataFrame, keys: str | Sequence[str] | None = None,
                       order: str | Sequence[str] | None = None,
-                      out: str = "row_num", wide: bool = False) -> DataFrame:
+                      out: str = "row_num", wide: bool = False,
+                      collation: str | None = None) -> DataFrame:
     """Number the copies of each key 1..n (delete nothing).
 
     ``order`` is mandatory (a numbering without one is not reproducible);
     ties in ``order`` are broken by the remaining columns. See
     :mod:`scrubline.operators.numbering` for the skew-safe plan. ``wide`` as in
-    :func:`dedupe`: rows without a copy are number 1 and are not shuffled."""
+    :func:`dedupe`: rows without a copy are number 1 and are not shuffled.
+    ``collation``: text keys compare by it."""
     from .numbering import key_row_number
 
     keys = resolve(df, _cols(keys)) if keys is not None else list(df.columns)
@@ -145,6 +156,12 @@ def number_duplicates(df: DataFrame, keys: str | Sequence[str] | None = None,
         raise ValueError("number_duplicates needs an explicit `order`")
     if out.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"the table has a column {out!r} already; name another for the number")
+    if collation is not None:
+        if wide:
+            raise ValueError("fingerprints compare bytes: no collation with wide=True")
+        with_keys, by = collated(df, keys, collation)
+        return key_row_number(with_keys, by, _order_spec(df, order), out).select(
+            *[_c(c) for c in df.columns], _c(out))
     if wide:
         single, others = split_copies(df, keys)
         return single.withColumn(out, F.lit(1)).unionByName(
@@ -254,7 +271,8 @@ def blank_to_null(df: DataFrame, cols: str | Sequence[str], blank: str = "") ->
 
 
 def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
-                    stage: bool = False, skew_guard: bool = True) -> DataFrame:
+                    stage: bool = False, skew_guard: bool = True,
+                    collation: str | None = None) -> DataFrame:
     """Fill NULLs in ``cols`` from other rows with the same ``key``.
 
     The donor for a key is ``min`` of its non-NULL values (deterministic where
@@ -279,9 +297,16 @@ def fill_from_peers(df: DataFrame, key: str, cols: str | Sequence[str],
     is an expensive plan (joins, shuffles), pass ``stage=True`` to write it
     once as Parquet under the shared folder and read that instead; filters
     are otherwise pushed into each branch and the work is repeated.
+
+    ``collation``: a text key matches by it (without the guard for hot keys, whose
+    sketch compares bytes).
     """
     key, = resolve(df, key)
     cols = resolve(df, _cols(cols))
+    if collation is not None:
+        with_key, (by,) = collated(df, [key], collation)
+        return fill_from_peers(with_key, by, cols, stage, False).select(
+            *[_c(c) for c in df.columns])
     if stage:
         df = stage_parquet(df, "fill_input")
     needs = _c(key).isNotNull() & reduce(lambda a, b: a | b, [_c(c).isNull() for c in cols])

@@ -41,8 +41,9 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
         return df.withColumn(out, F.row_number().over(w))
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
-    pid, local_, first, last, last_n, cum, offset = fresh(
-        [*df.columns, out], "pid", "local", "first", "last_key", "last_n", "cum", "offset")
+    pid, local_, first, last, last_n, cum, offset, before, so_far = fresh(
+        [*df.columns, out], "pid", "local", "first", "last_key", "last_n", "cum", "offset",
+        "before", "so_far")
 
     full_order = _sort_exprs([(k, True) for k in keys]) + local_order
     sliced = df.repartitionByRange(slice_count(df), *full_order).withColumn(
@@ -72,10 +73,10 @@ def key_row_number(df: DataFrame, keys: list[str], spec: list[tuple[str, bool]],
         Window.unboundedPreceding, Window.currentRow)
     edges = edges.withColumn(cum, F.sum(last_n).over(by_last))
     in_order = Window.orderBy(pid)  # one row per slice: bounded by the partition count
-    edges = edges.select(
-        pid, first,
-        F.when(F.col(first).eqNullSafe(F.lag(last).over(in_order)),
-               F.lag(cum).over(in_order)).otherwise(F.lit(0)).alias(offset))
+    edges = edges.select(pid, first, F.lag(last).over(in_order).alias(before),
+                         F.lag(cum).over(in_order).alias(so_far))
+    edges = edges.select(pid, first, F.when(
+        F.col(first).eqNullSafe(F.col(before)), F.col(so_far)).otherwise(F.lit(0)).alias(offset))
 
     joined = local.join(F.broadcast(edges), on=pid, how="left")
     number = F.col(local_) + F.when(key_struct.eqNullSafe(F.col(first)), F.col(offset)) \

@@ -26,12 +26,14 @@ from ..plans.cleaning_job import CleanSpec, clean
 from ..schemas import LAYOFFS_CLEAN, LAYOFFS_COLUMNS, NTZ_JSON_FORMAT, WEATHER_NESTED
 from ..plans.produce import observations, produce
 from ..session import shared_path
+from ..sources.evolving_table import EvolvingTable, Field
 from ..sources.keyed_table import KeyedTable
 from ..sources.record_log import Log, append_log, log_source, read_log, stream_log
 from ..sources.streams import landing_source, record_source
 from ..sources.tables import insert_into, stage_like, stage_table
 from ..streaming.ingest import (dedupe_stream, latest_by_key, read_sink, run_ingest, run_upsert,
                                 to_sink_types, write_batch)
+from ..streaming.ledger import BatchLedger, ledger_against_sink, read_ledger
 from ..streaming.seen import dedupe_lossless
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -503,6 +505,74 @@ def landing_quarantine(spark, d):
         F.min("_corrupt_record").alias("first_raw"), F.max("location_city").alias("last_city"))
 
 
+def batch_ledger(spark, d):
+    """The ledger of a stream of several micro-batches agrees with its sink, without a
+    job of its own."""
+    events = _t(spark, d, "events")
+    topic = shared_path(spark, "topic", "ledger")
+    encode_json(events).repartition(3, F.xxhash64("value")).write.parquet(topic)
+    sink, path = shared_path(spark, "sink", "ledger"), shared_path(spark, "ledger")
+    name = _name("ledger")
+    ledger = BatchLedger(spark, path, queries=(name,))
+    spark.streams.addListener(ledger)
+    try:
+        run_ingest(record_source(spark, topic, T.StructType([T.StructField("value", T.BinaryType())]),
+                                 max_files_per_trigger=1),
+                   sink, shared_path(spark, "checkpoints", "ledger"), schema=events.schema,
+                   required=["event_id"], trigger="availableNow",
+                   query_name=name).awaitTermination()
+        ledger.flush()
+    finally:
+        spark.streams.removeListener(ledger)
+    entries = read_ledger(spark, path)
+    rows = spark.read.parquet(sink).select("query_id", "batch_id")
+    off = ledger_against_sink(entries, rows).agg(F.count(F.lit(1)).alias("mismatches"))
+    return entries.agg(F.sum("rows").alias("n_rows"),
+                       (F.count(F.lit(1)) > 1).alias("several_batches")).withColumn(
+        "mismatches", off.scalar())
+
+
+def _spelt(col: str):
+    """A text in mixed case and with accents, by its row."""
+    by = F.col("o_orderkey") % 3
+    return (F.when(by == 0, F.lower(col)).when(by == 1, F.translate(col, "EIO", "\u00c9\u00ce\u00d6"))
+            .otherwise(F.col(col)).alias(col))
+
+
+def collated_totals(spark, d):
+    """Totals by a text key that compares without regard to case and accents, as a
+    server's default collation has it."""
+    orders = _t(spark, d, "orders").select(_spelt("o_orderpriority"), "o_custkey")
+    return A.total_by(orders, "o_orderpriority", "o_custkey", out="total", collation="UNICODE_CI_AI")
+
+
+def collated_dedupe(spark, d):
+    """One order per customer and priority, the latest, whatever the spelling."""
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", _spelt("o_orderpriority"))
+    return C.dedupe(orders, ["o_custkey", "o_orderpriority"], order="-o_orderkey",
+                    collation="UNICODE_CI_AI")
+
+
+def schema_evolution(spark, d):
+    """A table whose columns change between three inserts: a default fills a column
+    that is not given, a text column becomes a number, a column is added and one
+    renamed. The files of the first insert are read under the last columns."""
+    orders = _t(spark, d, "orders")
+    part = lambda i: orders.filter(F.col("o_orderkey") % 3 == i)
+    table = EvolvingTable.create(spark, shared_path(spark, "tables", "orders"), [
+        Field("key", "bigint", nullable=False), Field("customer", "string"),
+        Field("status", "string", nullable=False, default="'?'"), Field("total", "double")])
+    named = [F.col("o_orderkey").alias("key"), F.col("o_custkey").cast("string").alias("customer")]
+    table.insert(part(0).select(*named, F.col("o_totalprice").alias("total")))
+    table.modify("customer", "bigint")
+    table.add(Field("priority", "string", default="'none'"))
+    table.insert(part(1).select(*named, F.col("o_orderstatus").alias("status"),
+                                F.col("o_orderpriority").alias("priority")))
+    table.rename("total", "price")
+    table.insert(part(2).select(*named, F.col("o_totalprice").alias("price")))
+    return table.read()
+
+
 def latest_by_key_q(spark, d):
     return latest_by_key(_t(spark, d, "orders"), "o_custkey", ["-o_orderdate", "-o_orderkey"])
 
@@ -556,14 +626,28 @@ def running_total_rows(spark, d):
     return A.running_total(rows, "l_shipdate", "qty", out="shipped")
 
 
-_CLEANED: dict[tuple[str, str], str] = {}
+_CLEANED: dict[tuple, str] = {}
+
+
+def _stamp(spark, path: str) -> tuple:
+    """Names, sizes and times of the files under a path: another one means other rows."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(root, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def _cleaned_table(spark, d) -> DataFrame:
-    """The cleaned layoffs-shaped table, written once per session and source
-    folder under the shared folder -- the exploration queries read the
+    """The cleaned layoffs-shaped table, written once per session and state of the
+    source files under the shared folder -- the exploration queries read the
     persisted cleaned table, as the original exploration script does."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    base = d.rstrip("/")
+    key = (spark.sparkContext.applicationId, base,
+           *[_stamp(spark, f"{base}/{t}.parquet") for t in ("orders", "customer")])
     path = _CLEANED.get(key)
     if path is None:
         path = shared_path(spark, "tables", "layoffs_clean")
@@ -620,6 +704,10 @@ QUERIES: dict[str, QueryFn] = {
     "log_from_offsets": log_from_offsets,
     "log_latest_and_restart": log_latest_and_restart,
     "log_offsets": log_offsets,
+    "batch_ledger": batch_ledger,
+    "collated_totals": collated_totals,
+    "collated_dedupe": collated_dedupe,
+    "schema_evolution": schema_evolution,
     "latest_by_key": latest_by_key_q,
     "clean_layoffs": clean_layoffs,
     "running_total_rows": running_total_rows,

@@ -266,3 +266,27 @@ ORACLE_SQL["log_offsets"] = """
     SELECT CAST(count(*) AS BIGINT) AS n_records, CAST(count(DISTINCT user_id) AS BIGINT) AS n_keys,
            true AS gapless
     FROM events"""
+ORACLE_SQL["batch_ledger"] = """
+    SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS several_batches, CAST(0 AS BIGINT) AS mismatches
+    FROM events"""
+_SPELT = """
+o AS (
+  SELECT o_orderkey, o_custkey,
+         CASE o_orderkey % 3 WHEN 0 THEN lower(o_orderpriority)
+              WHEN 1 THEN translate(o_orderpriority, 'EIO', '\u00c9\u00ce\u00d6')
+              ELSE o_orderpriority END AS o_orderpriority
+  FROM orders)"""
+ORACLE_SQL["collated_totals"] = "WITH" + _SPELT + """
+SELECT min(o_orderpriority) AS o_orderpriority, CAST(sum(o_custkey) AS BIGINT) AS total
+FROM o GROUP BY strip_accents(lower(o_orderpriority))"""
+ORACLE_SQL["collated_dedupe"] = "WITH" + _SPELT + """
+SELECT o_orderkey, o_custkey, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, strip_accents(lower(o_orderpriority))
+                               ORDER BY o_orderkey DESC) AS rn FROM o)
+WHERE rn = 1"""
+ORACLE_SQL["schema_evolution"] = """
+    SELECT o_orderkey AS key, o_custkey AS customer,
+           CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE '?' END AS status,
+           CASE WHEN o_orderkey % 3 <> 1 THEN o_totalprice END AS price,
+           CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority ELSE 'none' END AS priority
+    FROM orders"""

@@ -7,9 +7,9 @@ Sink contract (each point is a test):
   at 0 again) cannot erase what an earlier one wrote;
 * sink errors propagate, so the batch is not committed and is replayed on
   restart (swallowing them would lose it);
-* the batch is evaluated once for the data (one write, with the row count
-  taken by ``observe`` during that same write) plus a ``limit 1`` probe to
-  skip empty batches;
+* the batch is evaluated once (one write, with the row count taken by ``observe``
+  during that same write); a batch that turns out to be empty leaves nothing behind;
+* a ledger of the batches can be kept (:class:`scrubline.streaming.ledger.BatchLedger`);
 * readers take the latest row per key across batches (``latest_by_key``).
 """
 
@@ -42,15 +42,12 @@ WRITTEN_COL = "written_at"
 def write_batch(batch_df: DataFrame, batch_id: int, sink: str, *, fmt: str = "parquet",
                 route_col: str | None = None, preview: int = 0,
                 options: dict[str, str] | None = None) -> int:
-    """Write one micro-batch; returns its row count (0: nothing written).
+    """Write one micro-batch; returns its row count (0: nothing is left behind).
 
     ``route_col`` partitions the batch folder by route (valid/quarantine) in
     the same single write. ``preview`` logs the first rows (off by default:
     it is an extra job). The query id is the one that Spark keeps in the
     checkpoint; a call outside a stream belongs to the query ``direct``."""
-    if batch_df.isEmpty():
-        log.info("batch %s is empty; nothing written", batch_id)
-        return 0
     if preview:
         log.info("batch %s preview:\n%s", batch_id, batch_df.limit(preview).toPandas())
     obs = Observation(f"batch_{batch_id}")
@@ -60,12 +57,31 @@ def write_batch(batch_df: DataFrame, batch_id: int, sink: str, *, fmt: str = "pa
     writer = observed.write.mode("overwrite").format(fmt).options(**(options or {}))
     if route_col:
         writer = writer.partitionBy(route_col)
-    writer.save(f"{sink.rstrip('/')}/{QUERY_COL}={query or 'direct'}/{BATCH_COL}={int(batch_id)}")
+    folder = f"{sink.rstrip('/')}/{QUERY_COL}={query or 'direct'}/{BATCH_COL}={int(batch_id)}"
+    writer.save(folder)
     n = int(obs.get["rows"])
+    if not n:  # known from the one job that wrote it
+        _drop_empty(batch_df.sparkSession, folder)
+        log.info("batch %s is empty; nothing written", batch_id)
+        return 0
     log.info("batch %s: %d rows written", batch_id, n)
     return n
 
 
+def _drop_empty(spark: SparkSession, folder: str) -> None:
+    """Delete the folder of a batch without rows, and the folders above it (query,
+    sink) if nothing else is in them."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.delete(path, True)
+    for _ in range(2):
+        path = path.getParent()
+        if not fs.exists(path) or len(fs.listStatus(path)):
+            break
+        fs.delete(path, False)
+
+
 def to_sink_types(df: DataFrame, time_cols: Sequence[str] = ("localtime", "last_updated"),
                   fmt: str = WEATHER_TIME_FORMAT) -> DataFrame:
     """Observation strings -> sink types: local times parsed to TIMESTAMP_NTZ."""
