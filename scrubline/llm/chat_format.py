@@ -59,8 +59,9 @@ def _unescape_role(c: Column) -> Column:
 
 
 def token_count(c: Column) -> Column:
-    """Words and single marks: the estimate that budgets are held against."""
-    return F.regexp_count(c, F.lit(r"\w+|[^\w\s]"))
+    """The estimate that budgets are held against: words and single marks, a long
+    word being a token for every six characters, so that no run passes as one."""
+    return F.regexp_count(c, F.lit(r"\w{1,6}|[^\w\s]"))
 
 
 def _turns(df: DataFrame) -> DataFrame:
