@@ -326,6 +326,118 @@ def test_license_own_and_inherited(spark):
                    6: ("MIT", "inherited")}
 
 
+def _licences(spark, texts):
+    df = spark.createDataFrame([(i, f"d{i}/x", t) for i, t in enumerate(texts)],
+                               "doc_id long, path string, text string")
+    return {r.doc_id: r for r in license_scan.scan(df).collect()}
+
+
+def test_license_notices_inside_long_lines(spark):
+    """A notice is found wherever it stands; its neighbours are not taken for one."""
+    prose = "the river ran along the old road and people of the town walked to the market there "
+    far = prose * 3000
+    texts = [prose * 25 + "Released under the MIT License. " + prose * 25,
+             "# " + prose * 5 + "Licensed under the Apache License, Version 2.0.",
+             far + "This program is licensed under the GNU Lesser General Public License, version 3. "
+             + far, far + "released under the MIT license " + far,
+             prose * 20 + "This work is licensed under a Creative Commons "
+             "Attribution-NonCommercial-ShareAlike 4.0 International License. " + prose * 20,
+             prose * 30 + "the license fee for the car was due " + prose * 30]
+    got = _licences(spark, texts)
+    want = ["MIT", "Apache-2.0", "LGPL-3.0", "MIT", "CC-BY-NC-SA-4.0", None]
+    assert [got[i].license for i in range(len(texts))] == want
+    assert [got[i].licenses for i in range(len(texts))] == [[w] if w else [] for w in want]
+
+
+def test_license_several_and_spdx(spark):
+    texts = ["Dual licensed: MIT License or Apache License, Version 2.0.",
+             "SPDX-License-Identifier: MIT OR Apache-2.0",
+             "// SPDX-License-Identifier: (GPL-2.0-or-later AND MIT)\ncode",
+             "Released under the MIT License.\n\nSome parts:\nLicensed under the GNU General Public "
+             "License, version 2.", "Licensed under the Eclipse Public License, version 2.0.",
+             "Licensed under the EUPL, Version 1.2", "Distributed under the Boost Software License, "
+             "Version 1.0.", "Licensed under the Artistic License 2.0.", "no notice", None]
+    got = _licences(spark, texts)
+    assert [got[i].licenses for i in range(len(texts))] == [
+        ["Apache-2.0", "MIT"], ["Apache-2.0", "MIT"], ["GPL-2.0", "MIT"], ["GPL-2.0", "MIT"],
+        ["EPL-2.0"], ["EUPL-1.2"], ["BSL-1.0"], ["Artistic-2.0"], [], []]
+    assert [got[i].expression for i in (1, 2, 8)] == [
+        "MIT OR Apache-2.0", "(GPL-2.0-or-later AND MIT)", None]
+
+
+def test_license_inheritance_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    own = {"MIT": "Released under the MIT License.",
+           "Apache-2.0": "Licensed under the Apache License, Version 2.0.", None: "plain words"}
+    rows = []
+    for i in range(300):
+        path = "/".join(rng.choice(["a", "b", "c"], rng.integers(0, 4)))
+        name = str(rng.choice(["LICENSE", "COPYING", "x.py", "y.md"], p=[0.08, 0.04, 0.5, 0.38]))
+        lic = [None, "MIT", "Apache-2.0"][int(rng.choice(3, p=[0.6, 0.2, 0.2]))]
+        rows.append((i, f"{path}/{name}" if path else name, lic))
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(
+        [(i, p, own[x]) for i, p, x in rows], "doc_id long, path string, text string")).collect()}
+    score = {x: next(got[i].score for i, _, y in rows if y == x) for x in own if x}
+    given = {}
+    for i, p, x in rows:
+        folder, _, name = p.rpartition("/")
+        if x and name in ("LICENSE", "COPYING"):
+            given[folder] = min(given.get(folder, (1, "")), (-score[x], x))
+    for i, p, x in rows:
+        folder, want, at = p.rpartition("/")[0], x, None
+        while not want:
+            if folder in given:
+                want, at = given[folder][1], folder
+            if not folder:
+                break
+            folder = folder.rpartition("/")[0]
+        origin = "own" if x else "inherited" if want else "none"
+        assert (got[i].license, got[i].origin, got[i].license_dir) == (want, origin, at), p
+
+
+def test_license_cosine_against_brute_force(spark):
+    """Scores of a small corpus by plain TF-IDF over the templates' vocabulary."""
+    texts = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.",
+             "The MIT License is what this is released under today.",
+             "This Source Code Form is subject to the Mozilla Public License, v. 2.0."]
+    got = _licences(spark, texts)
+
+    def terms(t):
+        t = t.lower()
+        for pattern, to in license_scan._SPELLINGS:
+            t = re.sub(pattern, to.replace("$1", r"\1"), t)
+        return collections.Counter(re.findall(license_scan._TERM, t))
+
+    temps = [(n, terms(t)) for n, t in license_scan.TEMPLATES]
+    vocabulary = set().union(*(t for _, t in temps))
+    units = [terms(t) for t in texts]  # short lines: one unit each
+    units[3:] = [terms(texts[3])]
+    parts = [terms(x) for x in re.split(r"(?<=[.;!?])\s+", texts[3])
+             if re.search(license_scan._CUE, x) and x != texts[3]]
+    every = units + parts
+    idf = {w: np.log((len(every) + 1) / (sum(w in u for u in every) + 1)) + 1 for w in vocabulary}
+    vec = lambda c: {w: k * idf[w] for w, k in c.items() if w in vocabulary}
+    norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    for i in range(3):
+        u = vec(units[i])
+        best = max(sum(u.get(w, 0) * x for w, x in vec(t).items()) / (norm(u) * norm(vec(t)))
+                   for n, t in temps if n == got[i].license)
+        assert abs(got[i].score - best) < 1e-5
+
+
+def test_chat_long_run_is_not_one_token(spark):
+    """A run of 40,000 characters fills windows like the text that it is."""
+    rows = [(1, 0, "user", "x" * 40_000), (1, 1, "assistant", "ok then"), (1, 2, "user", "\u65e5" * 9000),
+            (1, 3, "assistant", "fine")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    count = df.select(chat_format.token_count(F.col("text")).alias("n")).collect()
+    assert [r.n for r in count] == [6667, 2, 9000, 1]
+    windows = chat_format.format_windows(df)
+    assert windows.count() >= 3
+    d = chat_format.digests(windows).collect()[0]
+    assert d.n_turns == 4 and d.loss_chars == len("ok then") + len("fine")
+
+
 def test_pieces_are_optimal_and_round_trip():
     vocab = {0: ("▁a", -1.0), 1: ("b", -1.2), 2: ("ab", -1.5), 3: ("▁ab", -4.0), 4: ("a", -2.0),
              5: ("▁", -1.0), 6: ("ba", -1.1)}
