@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, stage
 
 #: Labelled rows of either label that the evidence is learnt from, at most.
 SAMPLE = 4000
@@ -57,7 +57,6 @@ SEPARATORS = set(" .-_*'~/\\,:;^=#%&")
 #: Log-probabilities of the channel.
 KEEP, SWAP, INSERT, REPEAT = -0.05, -3.5, -3.0, -1.2
 SWAP_AGAIN, DROP_DIGIT = -1.0, -9.0
-BEAM = 48
 MEMO = 200_000
 
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(])(?:[ ._*-]{1,2}(?:[^\W_]|[@$!|+(])){2,}(?!\w)")
@@ -145,14 +144,14 @@ class Restorer:
             got = self.memo[token] = self._viterbi(token)
         return got
 
-    def _viterbi(self, token: str) -> str:
-        lm, cls = self.lm, self.cls
-        # state: the last two classes -> (log-probability, back pointer chain)
-        states = {(0, 0): (0.0, None)}
-        last = ""
+    @staticmethod
+    def _lattice(token: str) -> list[list[tuple[str | None, float]]]:
+        """Per character what it may stand for: (letter or None for nothing,
+        log-probability of the channel)."""
+        out, last = [], ""
         first, end = (len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE)))
         for at, ch in enumerate(token):
-            steps = []  # (letter or None for nothing, channel log-probability)
+            steps: list[tuple[str | None, float]] = []
             if ch.isalpha():
                 steps.append((ch, KEEP))
                 if ch == last:
@@ -166,6 +165,16 @@ class Restorer:
                     mark = ch in SEPARATORS or ch in _MARKS and not first <= at < end
                     steps.append((None, DROP_DIGIT if ch in LEET and not mark else INSERT))
             last = ch
+            out.append(steps)
+        return out
+
+    def _viterbi(self, token: str) -> str:
+        """The best path of the lattice: every state is kept, of which there is at
+        most one per pair of letters."""
+        lm, cls = self.lm, self.cls
+        # state: the last two classes -> (log-probability, back pointer chain)
+        states = {(0, 0): (0.0, None)}
+        for steps in self._lattice(token):
             new: dict = {}
             for (a, b), (score, chain) in states.items():
                 for letter, channel in steps:
@@ -177,8 +186,6 @@ class Restorer:
                     old = new.get(key)
                     if old is None or s > old[0]:
                         new[key] = (s, c)
-            if len(new) > BEAM:
-                new = dict(sorted(new.items(), key=lambda e: -e[1][0])[:BEAM])
             states = new
         best = max(((s + lm[a][b][0], chain) for (a, b), (s, chain) in states.items()),
                    key=lambda e: e[0])[1]
@@ -261,14 +268,15 @@ def usable_labels(labels: DataFrame) -> DataFrame:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(text, toxic) of at most ``sample`` labelled rows per label, none of them
-    held out; distinct texts. The drawn ids (bounded) are broadcast."""
+    held out; distinct texts, toxic if one of a text's labels says so. The drawn ids
+    (bounded) are broadcast."""
     kept = usable_labels(labels)
     order = (F.xxhash64("i"), F.col("i"))
     drawn = kept.filter("toxic = 1").orderBy(*order).limit(sample).union(
         kept.filter("toxic = 0").orderBy(*order).limit(sample))
     return (docs.select(F.col("doc_id").cast("long").alias("i"), "text")
             .filter(F.col("text").isNotNull())
-            .join(F.broadcast(drawn), "i").select("text", "toxic").dropDuplicates(["text"]))
+            .join(F.broadcast(drawn), "i").groupBy("text").agg(F.max("toxic").alias("toxic")))
 
 
 def _sample_features(model: np.ndarray, wanted: frozenset | None):
@@ -299,7 +307,7 @@ def _sample_features(model: np.ndarray, wanted: frozenset | None):
 
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample: int = SAMPLE) -> Evidence:
     """Learn the evidence from the bounded labelled sample."""
-    rows = labelled_sample(docs, labels, sample)
+    rows = stage(labelled_sample(docs, labels, sample), "toxicity_sample")  # read twice
     counted = (rows.mapInArrow(_sample_features(model, None), "feature string, nt long, nc long")
                .groupBy("feature").agg(F.sum("nt").alias("nt"), F.sum("nc").alias("nc")))
     cand = (counted.filter((F.col("nt") >= MIN_SUPPORT) & (F.col("nt") >= 4 * F.col("nc")))
