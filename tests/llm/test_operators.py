@@ -290,6 +290,44 @@ def test_toxicity_separates_and_restores(spark):
     assert toxicity.scores(docs, labels.limit(0)).filter("predicted = 1").count() == 0
 
 
+def test_toxicity_decoder_equals_enumeration(spark):
+    """Viterbi against the sum of logs over every path of small lattices."""
+    docs = table(spark, SF001, "documents")
+    restorer = toxicity.Restorer(toxicity.character_model(docs))
+    lm, cls = restorer.lm, restorer.cls
+
+    def score(path):
+        a = b = 0
+        total = 0.0
+        for letter, channel in path:
+            total += channel
+            if letter is not None:
+                k = cls.get(letter, toxicity._OTHER)
+                total += lm[a][b][k]
+                a, b = b, k
+        return total + lm[a][b][0]
+
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        token = "".join(rng.choice(list("id!10o*$s5t.a3eem|"), rng.integers(1, 8)))
+        paths = list(itertools.product(*restorer._lattice(token)))
+        best = max(map(score, paths))
+        got = restorer.decode(token)
+        assert any("".join(x for x, _ in p if x) == got and abs(score(p) - best) < 1e-6
+                   for p in paths), token
+
+
+def test_toxicity_conflicting_labels_of_one_text(spark):
+    """Of a text's labels the toxic one counts, in whatever order the rows come."""
+    rows = [(i, "same text of two minds") for i in range(40)]
+    labels = [(i, i % 2) for i in range(40)]
+    for order in (1, -1):
+        docs = spark.createDataFrame(rows[::order], "doc_id long, text string")
+        got = toxicity.labelled_sample(docs, spark.createDataFrame(
+            labels[::order], "doc_id long, toxic int")).collect()
+        assert [(r.text, r.toxic) for r in got] == [("same text of two minds", 1)]
+
+
 def test_html_edge_cases():
     model = html_extract.train()
     page = ("<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='cookie-notice'>"
